@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL_TWINS: dict[str, str] = {}
 
-FAMILIES = ("marts",)
+FAMILIES = ("rentals", "filters", "marts", "timeseries")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
