@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from quaymart.functions import rint_to
 from quaymart.operators import aggregate as A
 from quaymart.operators import marts as M
-from quaymart.operators import rentals as R
 from quaymart.operators.quantiles import exact_median, exact_quantiles, histogram
-from quaymart.plans.marts import ltv, market, months, performance
+from quaymart.plans.marts import LTV_CUTS, MONTHS_FROM, last_purchase, ltv, market, performance
 from quaymart.plans.registry import query
 from quaymart.plans.rentals import rentals, summary, tiers
 from quaymart.plans.twins import money, p_even, p_up, r_even, r_up, twin
@@ -85,8 +84,6 @@ def q_kpi_row(spark, folder):
     """The per-order facts feed all three marts, so they are staged once."""
     m = market(spark, folder)
     facts = stage(m.order_facts())
-    from quaymart.plans.marts import LTV_CUTS, MONTHS_FROM, last_purchase
-
     return A.kpi_row(M.customer_ltv(facts, m.customers, last_purchase(m), LTV_CUTS),
                      M.order_metrics(facts, m.customers),
                      M.monthly_revenue(facts, F.lit(MONTHS_FROM).cast("timestamp_ntz")))
@@ -173,10 +170,7 @@ def q_box_stats(spark, folder):
     return _box(rentals(spark, folder).film, "rental_rate", "rating")
 
 
-@query("line_price_box", _box_sql("l_extendedprice", "l_shipmode_stand_in", """
-  (SELECT l_extendedprice, l_returnflag AS l_shipmode_stand_in FROM lineitem)""")
-       .replace("l_shipmode_stand_in", "l_returnflag").replace(
-           "l_returnflag AS l_returnflag", "l_returnflag"))
+@query("line_price_box", _box_sql("l_extendedprice", "l_returnflag", "lineitem"))
 def q_line_price_box(spark, folder):
     """Quartiles of very large groups (three flags over all lines)."""
     return _box(market(spark, folder).t.lineitem, "l_extendedprice", "l_returnflag")
@@ -219,6 +213,3 @@ def q_spend_trend(spark, folder):
         F.col("total_rentals").cast("double").alias("rentals"))
     return A.spend_trend(totals, "segment", "spend", "rentals")
 
-
-def customer_totals(r):
-    return R.customer_totals(r.rental, r.payment)
