@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL_TWINS: dict[str, str] = {}
 
-FAMILIES = ("rentals", "filters", "marts", "aggregates", "windows", "timeseries", "quality")
+FAMILIES = ("rentals", "filters", "marts", "aggregates", "windows", "timeseries", "quality", "loading", "history")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
