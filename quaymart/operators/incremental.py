@@ -99,7 +99,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str,
         hit = hit | F.col(partition_by).isNull()
     upsert(target.where(hit), batch, key).write.partitionBy(partition_by).parquet(f"{aside}/part")
     fresh = spark.read.schema(batch.schema).parquet(f"{aside}/part").select(*names)
-    (fresh.repartition(F.col(partition_by)).write.mode("overwrite")
+    (fresh.hint("rebalance", F.col(partition_by)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
     left = {r[0] for r in fresh.select(partition_by).distinct().collect()}
     for value in touched:

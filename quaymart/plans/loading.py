@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quaymart.functions import cut_right_closed, pct, ratio
+from quaymart.functions import cut_right_closed, ratio
 from quaymart.operators import marts as M
 from quaymart.operators import rentals as R
 from quaymart.operators.filters import half_open
@@ -17,7 +17,7 @@ from quaymart.operators.jobs import (
 from quaymart.plans.marts import LTV_CUTS, MONTHS_FROM, last_purchase, market
 from quaymart.plans.registry import query
 from quaymart.plans.rentals import SPEND_EDGES, rentals
-from quaymart.plans.twins import p_up, r_up, twin
+from quaymart.plans.twins import r_up, twin
 from quaymart.session import scratch_path
 from quaymart.sources.files import (
     load_csv_tables, write_csv, write_month_partitions, write_table,
@@ -285,16 +285,30 @@ def q_mart_chain(spark, folder):
     return out
 
 
-@query("month_share_of_late", twin("v_order_metrics", f"""
-SELECT CAST(date_trunc('month', purchased_at) AS DATE) AS purchase_month, count(*) AS orders,
-    {p_up('count(CASE WHEN is_late THEN 1 END)', 'count(*)', 1)} AS late_pct
+@query("plain_month_filter", twin("v_order_metrics", f"""
+SELECT count(*) AS orders, {r_up('sum(CAST(review_score AS BIGINT))', 'count(*)', 4, 0)}
+    AS avg_review, sum(CAST(round(total_payment * 100) AS BIGINT))::DOUBLE / 1e2 AS payment
+FROM v_order_metrics WHERE date_trunc('month', purchased_at) = DATE '{MONTH}'"""))
+def q_plain_month_filter(spark, folder):
+    """The month filter on the unpartitioned mart, to set beside the partitioned one."""
+    m = market(spark, folder)
+    end = (dt.date.fromisoformat(MONTH) + dt.timedelta(days=31)).isoformat()
+    month = M.order_metrics(m.order_facts(), m.customers).where(
+        half_open("purchased_at", MONTH, end))
+    return month.agg(
+        F.count(F.lit(1)).alias("orders"),
+        ratio(F.sum(M.to_cents("review_score")), F.count("review_score"), 4, 2).alias("avg_review"),
+        M.from_cents(F.sum(M.to_cents("total_payment"))).alias("payment"))
+
+
+@query("plain_quarter_filter", twin("v_order_metrics", f"""
+SELECT count(*) AS orders, {r_up('sum(delivery_days)', 'count(*)', 4, 0)} AS avg_delivery_days
 FROM v_order_metrics WHERE purchased_at >= DATE '{QUARTER[0]}'
-  AND purchased_at < DATE '{QUARTER[1]}' GROUP BY 1"""))
-def q_month_share_of_late(spark, folder):
-    """The quarter filter on plain timestamps, to set beside the partitioned one."""
+  AND purchased_at < DATE '{QUARTER[1]}' AND is_late"""))
+def q_plain_quarter_filter(spark, folder):
     m = market(spark, folder)
-    metrics = M.order_metrics(m.order_facts(), m.customers).where(
-        half_open("purchased_at", *QUARTER))
-    return metrics.groupBy(M.month_start("purchased_at").alias("purchase_month")).agg(
+    late = M.order_metrics(m.order_facts(), m.customers).where(
+        half_open("purchased_at", *QUARTER) & F.col("is_late"))
+    return late.agg(
         F.count(F.lit(1)).alias("orders"),
-        pct(F.count_if("is_late"), F.count(F.lit(1)), 1).alias("late_pct"))
+        ratio(F.sum("delivery_days"), F.count("delivery_days"), 4).alias("avg_delivery_days"))

@@ -12,7 +12,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL_TWINS: dict[str, str] = {}
 
-FAMILIES = ("rentals", "filters", "marts", "aggregates", "windows", "timeseries", "quality", "loading", "history")
+FAMILIES = ("filters", "rentals", "marts", "aggregates", "windows", "timeseries", "quality",
+            "loading", "history", "models")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

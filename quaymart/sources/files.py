@@ -71,15 +71,13 @@ def write_json_row(spark: SparkSession, path: str, values: Mapping, schema: T.St
 def write_month_partitions(df: DataFrame, path: str, ts: str, month: str = "purchase_month") -> DataFrame:
     """Table partitioned by month of ``ts``.
 
-    Rows are spread by (month, hash bucket) before writing, so a month that
-    holds a third of the rows is still written by several tasks, and no task
-    opens more than a few month files.
+    The rebalance groups rows by month and lets the adaptive planner split a
+    month that is too big for one task and merge small ones.
     """
     from quaymart.functions import month_start
 
     spark = df.sparkSession
     tagged = df.withColumn(month, month_start(ts))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(8))
-    (tagged.repartition(F.col(month), spread).write.mode("overwrite")
+    (tagged.hint("rebalance", F.col(month)).write.mode("overwrite")
      .partitionBy(month).parquet(path))
     return spark.read.parquet(path)
