@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _bracket(probs: Sequence[float], accuracy: int) -> Column:
+def _brackets(probs: Sequence[float], accuracy: int) -> Column:
     """n, and per probability a value range that surely holds the quantile.
 
     ``percentile_approx`` errs by at most n/accuracy ranks, so the sketch at
@@ -17,16 +17,16 @@ def _bracket(probs: Sequence[float], accuracy: int) -> Column:
     Smaller groups use their full range.
     """
     eps = 3.0 / accuracy
-    edges = [x for p in probs for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
-    sketch = F.percentile_approx("v", edges, accuracy)
     n, low, high = F.count(F.lit(1)), F.min("v"), F.max("v")
     small = n <= accuracy
-    return F.struct(n.alias("n"), F.array(*[
-        F.struct(F.lit(i).alias("i"),
-                 F.when(small | F.lit(edges[2 * i] <= 0), low).otherwise(sketch[2 * i]).alias("lo"),
-                 F.when(small | F.lit(edges[2 * i + 1] >= 1), high)
-                 .otherwise(sketch[2 * i + 1]).alias("hi"))
-        for i in range(len(probs))]).alias("edges"))
+    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-eps, eps)]
+    sketch = F.percentile_approx("v", edges, accuracy)
+    fields = []
+    for i, _ in enumerate(probs):
+        lo, hi = edges[2 * i], edges[2 * i + 1]
+        fields += [F.when(small | F.lit(lo <= 0), low).otherwise(sketch[2 * i]).alias(f"lo{i}"),
+                   F.when(small | F.lit(hi >= 1), high).otherwise(sketch[2 * i + 1]).alias(f"hi{i}")]
+    return F.struct(n.alias("n"), *fields)
 
 
 def exact_quantiles(df: DataFrame, value: Column | str, probs: Sequence[float],
@@ -34,35 +34,43 @@ def exact_quantiles(df: DataFrame, value: Column | str, probs: Sequence[float],
     """Linear-interpolated quantiles ``q0, q1, ...`` and ``n`` per group.
 
     Two passes. The first brackets each quantile with a bounded sketch. The
-    second counts the values below the bracket and the distinct values inside
-    it, combined map-side; only those (at most ``max(accuracy, 6n/accuracy)``
-    per group) are ever sorted. The answer is exact for any distribution.
-    ``df`` is read twice: stage it first if it is costly to compute.
+    second counts the distinct values inside the brackets, and for the gaps
+    between them only how many values fall there; both combine map-side. At
+    most ``max(accuracy, 6 n / accuracy)`` values per quantile are ever sorted,
+    and the answer is exact for any distribution. ``df`` is read twice: stage
+    it first if it is costly to compute.
     """
     v = F.col(value) if isinstance(value, str) else value
     by = list(by)
     rows = df.where(v.isNotNull()).select(*by, v.cast("double").alias("v"))
     if by:
-        brackets = rows.groupBy(*by).agg(_bracket(probs, accuracy).alias("b"))
-        tagged = rows.join(brackets, by)
+        tagged = rows.join(rows.groupBy(*by).agg(_brackets(probs, accuracy).alias("b")), by)
     else:
-        tagged = rows.withColumn("b", rows.agg(_bracket(probs, accuracy).alias("b")).scalar())
-    slots = tagged.select(*by, "v", F.col("b.n").alias("n"), F.explode("b.edges").alias("e"))
-    slots = slots.where(F.col("v") <= F.col("e.hi")).select(
-        *by, "n", F.col("e.i").alias("i"),
-        F.when(F.col("v") >= F.col("e.lo"), F.col("v")).alias("slot"))
-    counted = slots.groupBy(*by, "n", "i", "slot").agg(F.count(F.lit(1)).alias("c"))
-    upto = (Window.partitionBy(*by, "i").orderBy(F.col("slot").asc_nulls_first())
+        tagged = rows.withColumn("b", rows.agg(_brackets(probs, accuracy).alias("b")).scalar())
+    inside, below = F.lit(False), []
+    for i, _ in enumerate(probs):
+        inside = inside | ((F.col("v") >= F.col(f"b.lo{i}")) & (F.col("v") <= F.col(f"b.hi{i}")))
+        below.append(F.when(F.col("v") > F.col(f"b.hi{i}"), F.col(f"b.hi{i}")))
+    # A value outside all brackets stands in the gap after the last bracket below it.
+    gap_after = F.greatest(*below) if len(below) > 1 else below[0]
+    slots = tagged.select(*by, F.col("b.n").alias("n"), (~inside).alias("gap"),
+                          F.when(inside, F.col("v")).otherwise(gap_after).alias("at"))
+    counted = slots.groupBy(*by, "n", "at", "gap").agg(F.count(F.lit(1)).alias("c"))
+    upto = (Window.partitionBy(*by).orderBy(F.col("at").asc_nulls_first(), "gap")
             .rowsBetween(Window.unboundedPreceding, 0))
-    p = F.element_at(F.array(*[F.lit(float(x)) for x in probs]), F.col("i") + 1)
-    at = (F.col("n") - 1) * p
-    ranked = counted.withColumns({"cum": F.sum("c").over(upto), "at": at})
-    picked = ranked.groupBy(*by, "n", "i", "at").agg(
-        F.min(F.when(F.col("cum") >= F.floor("at") + 1, F.col("slot"))).alias("a"),
-        F.min(F.when(F.col("cum") >= F.ceil("at") + 1, F.col("slot"))).alias("b"))
-    q = F.col("a") + (F.col("at") - F.floor("at")) * (F.col("b") - F.col("a"))
-    return picked.withColumn("q", q).groupBy(*by, "n").agg(
-        *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))])
+    ranked = counted.withColumn("cum", F.sum("c").over(upto)).where(~F.col("gap"))
+    picks = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * float(p)
+        picks += [F.min(F.when(F.col("cum") >= F.floor(h) + 1, F.col("at"))).alias(f"a{i}"),
+                  F.min(F.when(F.col("cum") >= F.ceil(h) + 1, F.col("at"))).alias(f"b{i}")]
+    picked = ranked.groupBy(*by, "n").agg(*picks)
+    out = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * float(p)
+        out.append((F.col(f"a{i}") + (h - F.floor(h)) * (F.col(f"b{i}") - F.col(f"a{i}")))
+                   .alias(f"q{i}"))
+    return picked.select(*by, "n", *out)
 
 
 def exact_median(df: DataFrame, value: Column | str) -> Column:

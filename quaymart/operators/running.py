@@ -8,35 +8,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quaymart.session import stage
+
 HOT_ROWS = 1_000_000
+MAX_BROADCAST_KEYS = 100_000
 
 
 def running_by_key(df: DataFrame, key: str, order: Sequence[str], slice_by: Column, value: str,
                    rolling: int = 3, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``run_sum``, ``run_max``, ``roll_sum`` and ``roll_n`` of a bigint value.
 
-    A plain window puts a whole key in one task. Here a key with more than
-    ``hot_rows`` rows is cut along ``slice_by``, an expression that never
-    decreases along ``order`` (the day of a timestamp, say), and its slices
-    are windowed apart. What a slice needs from the slices before it is small:
-    their sum, their maximum and their last ``rolling - 1`` values. Other keys
-    form a single slice. The cut depends on the row alone, so a recomputed
-    task places every row as before. ``order`` must identify rows up to equal
-    values.
+    A plain window puts a whole key in one task. Keys are counted first; if
+    none has more than ``hot_rows`` rows, that plain window is the plan.
+    Otherwise the hot keys are cut along ``slice_by``, an expression that never
+    decreases along ``order`` (the day of a timestamp, say), and each slice is
+    windowed apart. What a slice needs from the slices before it is small:
+    their sum, their maximum and their last ``rolling - 1`` values. The cut
+    depends on the row alone, so a recomputed task places every row as before.
+    ``order`` must identify rows up to equal values.
     """
     back = rolling - 1
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
-           .select(key, F.lit(True).alias("__hot")))
-    tagged = df.join(hot, key, "left").withColumn("__slice", F.when(F.col("__hot"), slice_by))
-    inside = Window.partitionBy(key, "__slice").orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    last = inside.rowsBetween(-back, 0)
-    local = tagged.withColumns({
-        "__row": F.row_number().over(inside), "__sum": F.sum(value).over(upto),
-        "__max": F.max(value).over(upto), "__roll": F.sum(value).over(last),
-        "__rolln": F.count(value).over(last)})
+    hot = stage(df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+                .where(F.col("__n") > hot_rows).select(key))
+    hot_keys = hot.count()
+    plain = _windows(df, [key], order, value, back)
+    if hot_keys == 0:
+        return plain.drop("__row")
+    if hot_keys <= MAX_BROADCAST_KEYS:
+        hot = F.broadcast(hot)
+    cool = _windows(df.join(hot, key, "left_anti"), [key], order, value, back).drop("__row")
+    sliced = df.join(hot, key, "left_semi").withColumn("__slice", slice_by)
+    local = _windows(sliced, [key, "__slice"], order, value, back)
 
-    sliced = tagged.where(F.col("__slice").isNotNull())
     totals = sliced.groupBy(key, "__slice").agg(F.sum(value).alias("s"), F.max(value).alias("m"))
     newest = Window.partitionBy(key, "__slice").orderBy(*[F.col(c).desc() for c in order])
     tails = (sliced.withColumn("r", F.row_number().over(newest)).where(F.col("r") <= back)
@@ -45,26 +48,34 @@ def running_by_key(df: DataFrame, key: str, order: Sequence[str], slice_by: Colu
                                                        F.col(value).alias("x")))).alias("t")))
     slices = Window.partitionBy(key).orderBy("__slice")
     before = slices.rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.join(tails, [key, "__slice"]).select(
+    carry = totals.join(tails, [key, "__slice"], "left").select(
         key, "__slice", F.sum("s").over(before).alias("__csum"),
         F.max("m").over(before).alias("__cmax"),
         F.transform(F.flatten(F.collect_list("t").over(slices.rowsBetween(-back, -1))),
                     lambda e: e["x"]).alias("__ctail"))
-    joined = local.join(carry, [key, "__slice"], "left")
-    tail = F.coalesce("__ctail", F.array().cast("array<bigint>"))
-    want = F.greatest(F.lit(rolling) - F.col("__row"), F.lit(0))
-    take = F.least(want, F.size(tail))
-    part = F.when(take > 0, F.slice(tail, F.size(tail) - take + 1, take)).otherwise(
-        F.array().cast("array<bigint>"))
+    joined = local.join(carry, [key, "__slice"])
+    none, zero = F.array().cast("array<bigint>"), F.lit(0).cast("bigint")
+    tail = F.coalesce("__ctail", none)
+    take = F.least(F.greatest(F.lit(rolling) - F.col("__row"), F.lit(0)), F.size(tail))
+    part = F.when(take > 0, F.slice(tail, F.size(tail) - take + 1, take)).otherwise(none)
     known = F.filter(part, lambda x: x.isNotNull())
-    zero = F.lit(0).cast("bigint")
-    return joined.withColumns({
-        "run_sum": F.col("__sum") + F.coalesce("__csum", zero),
-        "run_max": F.greatest("__max", "__cmax"),
-        "roll_sum": F.coalesce("__roll", zero) + F.aggregate(known, zero, lambda a, x: a + x),
-        "roll_n": F.col("__rolln") + F.size(known),
-    }).drop("__hot", "__slice", "__row", "__sum", "__max", "__roll", "__rolln", "__csum", "__cmax",
-            "__ctail")
+    whole = joined.withColumns({
+        "run_sum": F.col("run_sum") + F.coalesce("__csum", zero),
+        "run_max": F.greatest("run_max", "__cmax"),
+        "roll_sum": F.coalesce("roll_sum", zero) + F.aggregate(known, zero, lambda a, x: a + x),
+        "roll_n": F.col("roll_n") + F.size(known)})
+    return cool.unionByName(whole.select(*cool.columns))
+
+
+def _windows(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str,
+             back: int) -> DataFrame:
+    inside = Window.partitionBy(*groups).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    last = inside.rowsBetween(-back, 0)
+    return df.withColumns({
+        "__row": F.row_number().over(inside), "run_sum": F.sum(value).over(upto),
+        "run_max": F.max(value).over(upto), "roll_sum": F.sum(value).over(last),
+        "roll_n": F.count(value).over(last)})
 
 
 def group_stats(df: DataFrame, key: str, value: str) -> DataFrame:

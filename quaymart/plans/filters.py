@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quaymart.functions import from_cents, ratio
 from quaymart.operators import marts as M
-from quaymart.operators.filters import facets, half_open, top_k
+from quaymart.operators.filters import facets, top_k
 from quaymart.plans.marts import last_purchase, ltv, market, performance
 from quaymart.plans.registry import query
 from quaymart.plans.rentals import rentals
@@ -59,8 +59,7 @@ WHERE purchased_at >= DATE '{LATE_MONTH[0]}' AND purchased_at < DATE '{LATE_MONT
   AND is_late"""))
 def q_late_in_month(spark, folder):
     m = market(spark, folder)
-    late = M.order_metrics(m.order_facts(), m.customers).where(
-        half_open("purchased_at", *LATE_MONTH) & F.col("is_late"))
+    late = M.order_metrics(m.order_facts(*LATE_MONTH), m.customers).where(F.col("is_late"))
     return late.select("order_id", "delivery_days", "review_score").orderBy(
         F.col("delivery_days").desc_nulls_first(), "order_id")
 

@@ -37,11 +37,12 @@ def as_seen(orders, at: dt.datetime):
 
 
 def snapshots(spark, folder):
-    """Three visits to the orders, applied one after the other."""
+    """Three visits to the orders. The history is stored after each, as a table
+    would be: the next visit reads it for its open and for its closed versions."""
     orders = stage(M.stg_orders(market(spark, folder).orders).select(*COLUMNS))
     history = H.first_snapshot(as_seen(orders, SEEN[0]), SEEN[0])
     for at in SEEN[1:]:
-        history = H.apply_snapshot(history, as_seen(orders, at), "order_id", CHECKED, at)
+        history = stage(H.apply_snapshot(history, as_seen(orders, at), "order_id", CHECKED, at))
     return history
 
 
@@ -86,7 +87,7 @@ def q_scd2_current(spark, folder):
     s.dbt_valid_to FROM v_snapshot s JOIN (SELECT order_id FROM v_snapshot GROUP BY 1
     HAVING count(*) > 1) c ON s.order_id = c.order_id"""))
 def q_status_changes(spark, folder):
-    changed = H.changed_keys(stage(snapshots(spark, folder)), "order_id")
+    changed = H.changed_keys(snapshots(spark, folder), "order_id")
     return changed.select("order_id", "order_status", H.VALID_FROM, H.VALID_TO)
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from quaymart.functions import cut_right_closed, ratio
 from quaymart.operators import marts as M
 from quaymart.operators import rentals as R
-from quaymart.operators.filters import half_open
 from quaymart.operators.incremental import newer_than, upsert_table, watermark
 from quaymart.operators.jobs import (
     Job, Model, append_audit, build_models, read_audit, row_gate,
@@ -293,8 +292,7 @@ def q_plain_month_filter(spark, folder):
     """The month filter on the unpartitioned mart, to set beside the partitioned one."""
     m = market(spark, folder)
     end = (dt.date.fromisoformat(MONTH) + dt.timedelta(days=31)).isoformat()
-    month = M.order_metrics(m.order_facts(), m.customers).where(
-        half_open("purchased_at", MONTH, end))
+    month = M.order_metrics(m.order_facts(MONTH, end), m.customers)
     return month.agg(
         F.count(F.lit(1)).alias("orders"),
         ratio(F.sum(M.to_cents("review_score")), F.count("review_score"), 4, 2).alias("avg_review"),
@@ -307,8 +305,7 @@ FROM v_order_metrics WHERE purchased_at >= DATE '{QUARTER[0]}'
   AND purchased_at < DATE '{QUARTER[1]}' AND is_late"""))
 def q_plain_quarter_filter(spark, folder):
     m = market(spark, folder)
-    late = M.order_metrics(m.order_facts(), m.customers).where(
-        half_open("purchased_at", *QUARTER) & F.col("is_late"))
+    late = M.order_metrics(m.order_facts(*QUARTER), m.customers).where(F.col("is_late"))
     return late.agg(
         F.count(F.lit(1)).alias("orders"),
         ratio(F.sum("delivery_days"), F.count("delivery_days"), 4).alias("avg_delivery_days"))
