@@ -51,7 +51,8 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
     ``min(k, rows - 1)`` nearest rows of the same class. Equal rows are
     neighbours at distance zero. Which neighbour, and how far along, follows
     from hashes of the row's key and the number of the synthetic row, so the
-    result does not depend on how Spark runs. Output: features, label,
+    result does not depend on the partitioning (only which of several vectors
+    at the very same k-th distance is taken may vary). Output: features, label,
     ``synthetic``; the key of a synthetic row is NULL.
     """
     df = stage(df.select(key, label, *[F.col(c).cast("double").alias(c) for c in features]))
@@ -83,7 +84,7 @@ def _synthesize(rows: DataFrame, key: str, k: int, need: int, n: int, seed: int,
                                       F.col("copies").alias("weight")), "other")
     # At most k distinct neighbours per vector: a bounded list.
     lists = found.groupBy("id").agg(F.sort_array(F.collect_list(
-        F.struct("d2", "other", "y", F.least("weight", F.lit(k)).alias("weight")))).alias("l"))
+        F.struct("d2", "y", F.least("weight", F.lit(k)).alias("weight")))).alias("l"))
     spread = F.flatten(F.transform(
         "l", lambda e: F.array_repeat(e["y"], e["weight"].cast("int"))))
     own = F.array_repeat(F.col("x"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))

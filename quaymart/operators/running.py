@@ -60,7 +60,7 @@ def running_by_key(df: DataFrame, key: str, order: Sequence[str], slice_by: Colu
     part = F.when(take > 0, F.slice(tail, F.size(tail) - take + 1, take)).otherwise(none)
     known = F.filter(part, lambda x: x.isNotNull())
     whole = joined.withColumns({
-        "run_sum": F.col("run_sum") + F.coalesce("__csum", zero),
+        "run_sum": F.coalesce(F.col("run_sum") + F.coalesce("__csum", zero), F.col("__csum")),
         "run_max": F.greatest("run_max", "__cmax"),
         "roll_sum": F.coalesce("roll_sum", zero) + F.aggregate(known, zero, lambda a, x: a + x),
         "roll_n": F.col("roll_n") + F.size(known)})
