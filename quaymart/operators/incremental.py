@@ -79,8 +79,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str,
     """
     names = batch.columns
     if not _exists(spark, path):
-        writer = batch.write
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        if partition_by is None:
+            batch.write.parquet(path)
+        else:
+            (batch.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
+             .parquet(path))
         return spark.read.schema(batch.schema).parquet(path)
 
     aside = scratch_path(spark, "upsert")
@@ -97,7 +100,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str,
     hit = F.col(partition_by).isin([v for v in touched if v is not None])
     if None in touched:
         hit = hit | F.col(partition_by).isNull()
-    upsert(target.where(hit), batch, key).write.partitionBy(partition_by).parquet(f"{aside}/part")
+    upsert(target.where(hit), batch, key).write.parquet(f"{aside}/part")
     fresh = spark.read.schema(batch.schema).parquet(f"{aside}/part").select(*names)
     (fresh.hint("rebalance", F.col(partition_by)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))

@@ -201,12 +201,17 @@ def q_incremental_upsert(spark, folder):
     second time and are replaced. The end state equals the mart built at once.
     """
     m = market(spark, folder)
-    metrics = M.order_metrics(m.order_facts(), m.customers).withColumn(
-        "purchase_month", M.month_start("purchased_at"))
+
+    def metrics(**span):
+        return M.order_metrics(m.order_facts(**span), m.customers).withColumn(
+            "purchase_month", M.month_start("purchased_at"))
+
     path = scratch_path(spark, "order-metrics")
-    early = F.col("purchased_at") < F.lit(ORDER_CUT).cast("timestamp_ntz")
-    first = upsert_table(spark, path, metrics.where(early), "order_id", "purchase_month")
-    batch = newer_than(metrics, "purchased_at", watermark(first, "purchased_at"), lookback_days=31)
+    first = upsert_table(spark, path, metrics(bought_to=ORDER_CUT.isoformat()), "order_id",
+                         "purchase_month")
+    mark, again = watermark(first, "purchased_at"), 31
+    batch = newer_than(metrics(bought_from=(mark - dt.timedelta(days=again)).isoformat()),
+                       "purchased_at", mark, lookback_days=again)
     return upsert_table(spark, path, batch, "order_id", "purchase_month")
 
 
