@@ -1,5 +1,7 @@
 """Quaymart: commerce analytics expressed as Spark DataFrame plans."""
 
-from quaymart.session import apply_settings, build_session, scratch_path, stage
+from quaymart.session import (
+    apply_settings, build_session, clear_scratch, scratch_path, stage,
+)
 
-__all__ = ["apply_settings", "build_session", "scratch_path", "stage"]
+__all__ = ["apply_settings", "build_session", "clear_scratch", "scratch_path", "stage"]

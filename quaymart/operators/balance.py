@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quaymart.operators.neighbours import nearest
 from quaymart.operators.ranking import positions
 from quaymart.session import stage
 
 SEED = 42
+MAX_CLASSES = 100
 
 
 def in_train(key: str, share: int = 80, seed: int = SEED) -> Column:
@@ -35,12 +35,20 @@ def split_counts(df: DataFrame, key: str, label: str, share: int = 80) -> DataFr
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Balanced weights n / (classes * rows of the class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    every = Window.partitionBy()
-    weights = counts.select(label, (F.sum("__n").over(every) / (
-        F.count(F.lit(1)).over(every) * F.col("__n"))).alias(name))
-    return df.join(weights, label)
+    """Balanced weights n / (classes * rows of the class).
+
+    The class counts become a constant expression: a join on the label would
+    shuffle all rows to as many partitions as there are classes.
+    """
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    total = sum(r["n"] for r in counts)
+    weight = F.lit(None).cast("double")
+    for r in counts:
+        weight = F.when(F.col(label).eqNullSafe(F.lit(r[0])),
+                        total / (len(counts) * r["n"])).otherwise(weight)
+    return df.withColumn(name, weight)
 
 
 def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5,

@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_SCRATCH: list[str] = []
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime options above on a session that already exists."""
@@ -66,18 +68,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage and continue from there.
+    """Write ``df`` once as a table in the shared folder and continue from there.
 
-    Used where two branches of a plan must see the very same partitioning, and
-    where recomputing the input would cost more than writing it. The data
-    survives the loss of any executor.
+    Used where two branches of a plan must see the very same rows in the very
+    same place, and where computing the input again would cost more than
+    writing it. The table survives the loss of any executor, is read column by
+    column, and tells the planner its true size.
     """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process made; frames built on them are void."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        done += path.getFileSystem(conf).delete(path, True)
+    return done
