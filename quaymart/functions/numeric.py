@@ -27,7 +27,7 @@ def from_cents(cents: Column | str) -> Column:
 
 def half_up(x: Column) -> Column:
     """Nearest whole number, halves away from zero (SQL ``ROUND`` on numeric)."""
-    return F.when(x >= 0, F.floor(x + 0.5)).otherwise(-F.floor(0.5 - x)).cast("double")
+    return F.round(x, 0)
 
 
 def ratio(num: Column | str, den: Column | str, digits: int = 2, num_scale: int = 0,
@@ -39,15 +39,15 @@ def ratio(num: Column | str, den: Column | str, digits: int = 2, num_scale: int
     """
     scaled = _col(num).cast("double") * float(10 ** (digits - num_scale)) \
         if digits >= num_scale else _col(num).cast("double") / float(10 ** (num_scale - digits))
-    quotient = scaled / F.nullif(_col(den).cast("double"), F.lit(0.0))
+    quotient = F.try_divide(scaled, _col(den).cast("double"))
     whole = half_up(quotient) if half == "up" else F.rint(quotient)
     return whole / float(10 ** digits)
 
 
 def pct(part: Column | str, total: Column | str, digits: int = 2, half: str = "up") -> Column:
     """``part / total * 100`` rounded to ``digits``; both in the same unit."""
-    quotient = _col(part).cast("double") * float(10 ** (digits + 2)) \
-        / F.nullif(_col(total).cast("double"), F.lit(0.0))
+    quotient = F.try_divide(_col(part).cast("double") * float(10 ** (digits + 2)),
+                            _col(total).cast("double"))
     whole = half_up(quotient) if half == "up" else F.rint(quotient)
     return whole / float(10 ** digits)
 

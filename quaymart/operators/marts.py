@@ -82,7 +82,7 @@ def _review_rows() -> Column:
 
 
 def _order_review() -> Column:
-    return F.col("review_sum") / F.nullif("review_count", F.lit(0))
+    return F.try_divide("review_sum", "review_count")
 
 
 def _paid_orders(facts: DataFrame) -> DataFrame:

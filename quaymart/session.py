@@ -39,6 +39,8 @@ def build_session(app: str = "quaymart", cpus: int | None = None, **extra: str)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call-site capture costs a stack walk for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", extra.pop("driver_memory", "8g"))
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "quaymart-warehouse"))
