@@ -36,7 +36,10 @@ if __name__ == "__main__":
                 problems = diff(df, con, sql)
                 note = ""
         except Exception as exc:  # report every query, then fail at the end
-            problems, note = [f"{type(exc).__name__}: {str(exc)[:900]}"], ""
+            lines = str(exc).splitlines()
+            causes = [x[:300] for x in lines if "Caused by" in x or "Serialization" in x
+                      or x.strip().startswith("- ")]
+            problems, note = [f"{type(exc).__name__}: {str(exc)[:600]}", *causes[:30]], ""
         bad += bool(problems)
         print(f"{'FAIL' if problems else 'ok  '} {name} {time.perf_counter() - start:.2f}s {note}",
               flush=True)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from quaymart.functions import half_up, ordinal, pct, ratio, rint_to, to_cents
 from quaymart.operators.balance import SEED, fold, in_train, smote, with_class_weights
 from quaymart.operators.quantiles import exact_median
+from quaymart.session import scratch_path
 from quaymart.sources.files import write_json_row
 
 # Fill values and windows of the feature rules.
@@ -136,6 +137,17 @@ def _scale() -> StandardScaler:
     return StandardScaler(inputCol="raw_vector", outputCol="vector", withMean=True)
 
 
+def stored(model: PipelineModel) -> PipelineModel:
+    """The model as read back from the shared folder.
+
+    A freshly fitted model carries its training summary, and with it the whole
+    training plan, into every task that scores; the stored form does not.
+    """
+    path = scratch_path(SparkSession.builder.getOrCreate(), "model")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def fit_logistic(train: DataFrame, features: Sequence[str], weighted: bool = True,
                  max_iter: int = 1000) -> PipelineModel:
     """Scaled logistic regression; the penalty matches C = 1 on summed losses."""
@@ -144,7 +156,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], weighted: bool = Tru
         featuresCol="vector", labelCol="target", maxIter=max_iter, regParam=1.0 / max(n, 1),
         standardization=False, **({"weightCol": "weight"} if weighted else {}))]
     data = with_class_weights(train, "target") if weighted else train
-    return Pipeline(stages=stages).fit(data)
+    return stored(Pipeline(stages=stages).fit(data))
 
 
 def _forest(trees: int, depth: int, weighted: bool) -> RandomForestClassifier:
@@ -156,7 +168,8 @@ def _forest(trees: int, depth: int, weighted: bool) -> RandomForestClassifier:
 def fit_forest(train: DataFrame, features: Sequence[str], trees: int = 100, depth: int = 10,
                weighted: bool = False) -> PipelineModel:
     data = with_class_weights(train, "target") if weighted else train
-    return Pipeline(stages=[_assemble(features), _scale(), _forest(trees, depth, weighted)]).fit(data)
+    stages = [_assemble(features), _scale(), _forest(trees, depth, weighted)]
+    return stored(Pipeline(stages=stages).fit(data))
 
 
 def fit_balanced_forest(train: DataFrame, key: str, features: Sequence[str], trees: int = 100,
@@ -311,7 +324,7 @@ META_SCHEMA = T.StructType([
 def save_model(model: PipelineModel, folder: str, name: str, features: Sequence[str],
                n_samples: int, at: dt.datetime, baseline: float | None = None) -> DataFrame:
     """A versioned copy, the latest copy, and the metadata record."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.builder.getOrCreate()
     version = at.strftime("%Y%m%d_%H%M%S")
     model.write().overwrite().save(f"{folder}/{name}_{version}")
     model.write().overwrite().save(f"{folder}/{name}_latest")
