@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quaymart.functions import from_cents, ratio
+from quaymart.functions import ratio
 from quaymart.operators import marts as M
 from quaymart.operators.filters import facets, top_k
-from quaymart.plans.marts import last_purchase, ltv, market, performance
+from quaymart.plans.marts import ltv, market, performance
 from quaymart.plans.registry import query
 from quaymart.plans.rentals import rentals
 from quaymart.plans.twins import twin
