@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import mixing
+from quaymart.llm import lang_id, mixing, near_dup, secrets
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -27,3 +27,25 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+@query
+def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.classes(read(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    counts = [secrets.count_kind("findings", k).alias(f"n_{k}") for k in secrets.BASE_KINDS]
+    base = F.sha2(secrets.joined("findings", secrets.BASE_KINDS).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secrets.joined("findings").alias("spans"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = lang_id.held_out()
+    found = lang_id.predict(docs.select("doc_id", "text"), lang_id.train(docs, ~out))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
