@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import lang_id, mixing, near_dup, secrets
+from quaymart.llm import lang_id, mixing, near_dup, pieces_fst, secrets
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -15,6 +15,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL_TWINS: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """A public vocabulary file, as the installed package names it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(apply_settings(spark), sf_dir)
@@ -29,6 +39,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_fst.round_trip(read(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL))
+
+
 @query
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.classes(read(spark, sf_dir, "documents"))
