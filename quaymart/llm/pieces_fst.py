@@ -348,10 +348,9 @@ class Encoder:
             self.flat = np.concatenate([self.flat, *found])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in found])])
         which = np.array([known[w] for w in distinct], np.int64)[numbers]
-        lengths = self.starts[which + 1] - self.starts[which]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[np.repeat(self.starts[which] - upto[:-1], lengths) + np.arange(upto[-1])]
-        bounds = upto[begins].tolist()
+        table = pa.ListArray.from_arrays(pa.array(self.starts.astype(np.int32)), pa.array(self.flat))
+        taken = table.take(pa.array(which))
+        ids, bounds = taken.values.to_numpy(), np.asarray(taken.offsets)[begins].tolist()
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 

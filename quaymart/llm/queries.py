@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import lang_id, mixing, near_dup, pieces_fst, secrets
+from quaymart.llm import lang_id, mixing, near_dup, pieces_fst, secrets, token_files
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -44,6 +44,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_fst.round_trip(read(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL))
 
 
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    return token_files.read_back(spark, token_files.write(read(spark, sf_dir, "documents"), tokenizer))
+
+
 @query
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.classes(read(spark, sf_dir, "documents"))
