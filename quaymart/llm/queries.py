@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import lang_id, mixing, near_dup, pieces_fst, secrets, token_files
+from quaymart.llm import lang_id, mixing, near_dup, pieces_fst, quality, secrets, token_files
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -51,6 +51,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(spark, token_files.write(read(spark, sf_dir, "documents"), tokenizer))
 
 
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+
+
 @query
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.classes(read(spark, sf_dir, "documents"))
