@@ -12,8 +12,8 @@ of ``ROWS`` slots miss a pair of similarity 0.75 with odds of 5e-6.
 Documents with equal sets fold to one representative first. In each bucket the
 members are compared with the bucket's least member only, on full sets; links
 are grouped; buckets that still hold several groups are then compared across
-groups, pair by pair, which completes what the star of the first round cannot
-see. No bucket, candidate or link is left out, and a bucket whose members are
+groups, which completes what the star of the first round cannot see. Members
+whose elements rule out any link are left out of that (see ``_across``). No bucket, candidate or link is left out, and a bucket whose members are
 already one group costs nothing more.
 
 Cases: NULL, empty or blank text has an empty set, is linked with nothing and
@@ -179,7 +179,7 @@ def classes(docs: DataFrame) -> DataFrame:
     tried = stage(members.filter("rep > lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
     links = stage(verified(tried, sets, sizes).unionByName(_same_id(known, names)))
     ties = components(links)
-    rest = stage(_across(members, ties).join(tried, ["a", "b"], "left_anti"))
+    rest = stage(_across(members, ties, sets, sizes).join(tried, ["a", "b"], "left_anti"))
     more = stage(verified(rest, sets, sizes))
     if not more.isEmpty():
         ties = components(ties.select(F.col("v").alias("a"), F.col("u").alias("b")).unionByName(more))
@@ -200,17 +200,53 @@ def _same_id(known: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, ties: DataFrame) -> DataFrame:
-    """Pairs of one bucket that are in different components so far."""
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("elements")]
+        ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(s) for s in sets])
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+        for a in range(0, len(flat), 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a:a + (1 << 20)], pa.int64()), pa.array(flat[a:a + (1 << 20)])], ["doc_id", "element"])
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component."""
+    keys = stage(placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key"))
+    return placed.join(keys, "key")
+
+
+def _across(members: DataFrame, ties: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs of one bucket that are in different components so far and may still be linked.
+
+    A link needs an intersection of at least 3/7 of both sizes together. An element that no other member of a mixed
+    bucket holds is in no intersection, so a member's other elements bound all its intersections. This settles
+    heavily edited copies in a large group, which share buckets with all of it, without comparing them.
+    """
     placed = members.join(ties, F.col("rep") == F.col("u"), "left").select("key", "rep", F.coalesce("v", "rep").alias("comp"))
-    placed = stage(placed)
-    mixed = stage(placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("key"))
-    left = stage(placed.join(mixed, "key"))
-    right = left.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-    return (
-        left.withColumnRenamed("rep", "a").join(right, "key").filter("a < b and comp <> comp_b")
-        .select("a", "b").distinct()
-    )
+    placed = stage(_mixed(stage(placed)))
+    while True:
+        pool = placed.select("rep").distinct()
+        held = sets.join(pool, F.col("doc_id") == F.col("rep")).select("doc_id", "elements").mapInArrow(_elements, "doc_id bigint, element bigint")
+        alone = (
+            held.groupBy("element").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("other")).filter("id = other")
+            .groupBy("id").agg(F.count("*").alias("alone"))
+        )
+        bound = stage(sizes.join(pool, F.col("doc_id") == F.col("rep")).groupBy("rep").agg(F.max("n_shingles").alias("n"))
+                      .join(alone, F.col("rep") == F.col("id"), "left")
+                      .select(F.col("rep").alias("of"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
+                      .filter(F.col("most") * DEN >= F.col("n") * NUM))
+        left = stage(_mixed(stage(placed.join(bound, F.col("rep") == F.col("of")).select("key", "rep", "comp", "n", "most"))))
+        # Those that are out may have held the only copies of an element: look again while many leave.
+        before, after = placed.count(), left.count()
+        if after * 10 > before * 9:
+            break
+        placed = stage(left.select("key", "rep", "comp"))
+    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "comp", "n", "most")])
+    need = (F.col("n") + F.col("n_b")) * NUM <= F.least("most", "most_b") * (NUM + DEN)
+    apart = (F.col("rep") < F.col("rep_b")) & (F.col("comp") != F.col("comp_b"))
+    alike = F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM
+    pairs = left.join(right, (left["key"] == right["key"]) & apart & need & alike)
+    return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

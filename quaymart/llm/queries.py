@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import lang_id, mixing, near_dup, pieces_fst, quality, secrets, token_files
+from quaymart.llm import ann, lang_id, mixing, near_dup, pieces_fst, quality, secrets, token_files
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -57,6 +57,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 
+@query
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.classes(read(spark, sf_dir, "documents"))
