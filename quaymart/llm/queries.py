@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import ann, lang_id, mixing, near_dup, pieces_fst, quality, secrets, token_files
+from quaymart.llm import ann, html_wrappers, lang_id, mixing, near_dup, pieces_fst, quality, secrets, token_files
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -44,6 +44,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_fst.round_trip(read(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL))
 
 
+@query
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_wrappers.main_texts(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as file:
