@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import ann, html_wrappers, lang_id, mixing, near_dup, pieces_fst, quality, secrets, token_files
+from quaymart.llm import ann, html_wrappers, lang_id, mixing, near_dup, pieces_fst, quality, secrets, suffix_dedup, token_files
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -50,6 +50,11 @@ def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as file:
