@@ -39,7 +39,9 @@ from quaymart.llm.common import coded, pieces, plain
 MARK = "▁"
 INF = float("inf")
 # Words kept per task before the table is emptied.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 300_000
+# Words whose lattices advance together.
+TOGETHER = 40_000
 # Words up to this length, of covered characters, are composed many at a time.
 WIDE = 48
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -229,7 +231,11 @@ class Transducer:
         return ok
 
     def encode_many(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word. The lattices of all plain words advance together, position by position."""
+        """Ids of each word."""
+        return [x for a in range(0, len(words), TOGETHER) for x in self._encode_some(words[a:a + TOGETHER])]
+
+    def _encode_some(self, words: list[str]) -> list[np.ndarray]:
+        """The lattices of all plain words advance together, position by position."""
         out: list[np.ndarray | None] = [None] * len(words)
         plain = [i for i, w in enumerate(words) if 0 < len(w) <= WIDE and MARK not in w[1:]]
         plain.sort(key=lambda i: -len(words[i]))
@@ -237,28 +243,28 @@ class Transducer:
         count = len(plain)
         if count:
             wide = int(lengths[0])
-            chars = np.zeros((wide, count), np.uint64)
+            chars = np.zeros((wide, count), np.uint32)
             flat = np.frombuffer("".join([words[i] for i in plain]).encode("utf-32-le", "surrogatepass"), np.uint32)
             starts = np.cumsum(lengths) - lengths
             for k in range(wide):
                 live = int(np.searchsorted(-lengths, -k, side="left"))   # words longer than k
                 chars[k, :live] = flat[starts[:live] + k]
-            last = np.full((wide + 1, count), -1, np.int64)      # the piece that ends at a position
-            size = np.zeros((wide + 1, count), np.int64)
+            last = np.full((wide + 1, count), -1, np.int32)      # the piece that ends at a position
+            size = np.zeros((wide + 1, count), np.uint8)
             odd = np.zeros(count, bool)                           # words for the plain search
             powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(self.longest, _BASE)]), dtype=np.uint64)
             for end in range(1, wide + 1):
                 live = int(np.searchsorted(-lengths, -end, side="right"))
                 code = np.zeros(live, np.uint64)
                 for n in range(1, min(end, self.longest) + 1):
-                    code = code + (chars[end - n, :live] + np.uint64(1)) * powers[n - 1]
+                    code = code + (chars[end - n, :live].astype(np.uint64) + np.uint64(1)) * powers[n - 1]
                     h = _mix(code)
                     rows = np.flatnonzero(self.maybe[(h >> np.uint64(42)).astype(np.int64)])
                     at = np.minimum(np.searchsorted(self.hashes, h[rows]), len(self.hashes) - 1)
                     hit = self.hashes[at] == h[rows]
                     rows, piece = rows[hit], self.hash_ids[at[hit]]
                     if end > n:
-                        before = last[end - n, rows]
+                        before = last[end - n, rows].astype(np.int64)
                         there = before >= 0
                         rows, piece, before = rows[there], piece[there], before[there]
                         fit = self._fit_cached(before, piece)
@@ -339,6 +345,7 @@ class Encoder:
             self._forget()
         words, begins = self._words(plain(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())))
         numbers, distinct = coded(words)
+        del words
         distinct = distinct.to_pylist()
         known = self.known
         fresh = [w for w in distinct if w not in known]
@@ -364,7 +371,7 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, most=4 << 20):
                 found = encoder.encode(part.column("text"))
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                 flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int32), pa.int32())
@@ -393,19 +400,17 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
     """``doc_id, n_pieces, ids_crc32, round_trip`` of each row: its ids in digest, and whether decoding them gives the text back."""
-    encoded = encode(docs.select("doc_id", "text"), model_file)
     shared = docs.sparkSession.sparkContext.broadcast(Transducer(model_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(shared.value)
         for batch in batches:
-            for part in pieces(batch):
-                counts, sums, same = [], [], []
-                for text, ids in zip(part.column("text"), part.column("ids")):
-                    ids = ids.values.to_numpy()
-                    counts.append(len(ids))
-                    sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                    same.append(shared.value.decode(ids) == (text.as_py() or ""))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums, pa.int64()), pa.array(same)],
-                                                 ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
-
-    return encoded.mapInArrow(run, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, round_trip boolean")
+            for part in pieces(batch, most=4 << 20):
+                found = encoder.encode(part.column("text"))
+                same = [encoder.fst.decode(ids) == (text.as_py() or "") for text, ids in zip(part.column("text"), found)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([len(x) for x in found], pa.int64()),
+                     pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()), pa.array(same, pa.bool_())],
+                    ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, round_trip boolean")
