@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaymart.session import scratch_path
 
@@ -46,73 +50,153 @@ def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return sync_columns(kept, batch).unionByName(batch)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from quaymart.sources.files import path_exists
+# A keyed table is a folder with data folders and pointers:
+#
+#   <path>/data-<id>/__part=<hash>/*.parquet    rows of one partition as one upsert wrote them
+#   <path>/pointer-<n>.json                     schema and the data folder of each partition, version n
+#
+# A pointer is written after its data, under a name that must not exist yet; readers take the
+# largest n. So a run that dies leaves the version before it, and of two writers one fails.
+# Partition folders are named by a hash, and the value itself stays in the files: nothing is
+# inferred from names, and NULL or slashes in a value are no special case.
+BUCKETS = 32
+_PART = "__part"
 
-    return path_exists(spark, path)
 
+def _jvm_fs(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
-def _replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
-    """Swap in a fully written folder; the old one goes only after it exists."""
-    jvm = spark.sparkContext._jvm
-    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(fresh)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {fresh} to {path}")
 
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    fs, hadoop = _jvm_fs(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
 
-def _drop_partition(spark: SparkSession, path: str, col: str, value) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{col}={value}")
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
+def _pointer(spark: SparkSession, path: str) -> dict | None:
+    """The current version of a keyed table; None if there is none."""
+    found = [p for p in _listed(spark, path) if "/pointer-" in p]
+    if not found:
+        return None
+    last = max(found, key=lambda p: int(p.rsplit("-", 1)[1].removesuffix(".json")))
+    fs, hadoop = _jvm_fs(spark, last)
+    stream = fs.open(hadoop)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
 
-def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str,
-                 partition_by: str | None = None) -> DataFrame:
-    """Upsert into a parquet folder; returns the table with the batch's columns.
 
-    The batch must hold one row per key. A partitioned table rewrites only the
-    partitions that receive rows or lose them: the key column alone is read to
-    find those. The new content is written aside first, since a folder cannot
-    be overwritten while it is read.
-    """
-    names = batch.columns
-    if not _exists(spark, path):
-        if partition_by is None:
-            batch.write.parquet(path)
-        else:
-            (batch.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
-             .parquet(path))
-        return spark.read.schema(batch.schema).parquet(path)
+def _commit(spark: SparkSession, path: str, state: dict) -> None:
+    """Make a version current. Fails if another writer has made the same version."""
+    fs, hadoop = _jvm_fs(spark, f"{path}/pointer-{state['version']}.json")
+    out = fs.create(hadoop, False)
+    try:
+        out.write(bytearray(json.dumps(state).encode()))
+    finally:
+        out.close()
 
-    aside = scratch_path(spark, "upsert")
-    batch.write.parquet(f"{aside}/batch")
-    batch = spark.read.schema(batch.schema).parquet(f"{aside}/batch")
-    target = spark.read.option("mergeSchema", True).parquet(path)
+
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The current rows of a keyed table, with its stored schema or a newer one."""
+    state = _pointer(spark, path)
+    if state is None:
+        # A plain parquet folder that was never upserted.
+        return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+    return _rows(spark, state, schema or T.StructType.fromJson(state["schema"]), state["parts"])
+
+
+def _rows(spark: SparkSession, state: dict, schema: T.StructType, parts) -> DataFrame:
+    folders = [state["parts"][p] for p in parts if p in state["parts"]]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def _part_of(key: str, partition_by: str | None) -> Column:
     if partition_by is None:
-        upsert(target, batch, key).select(*names).write.parquet(f"{aside}/whole")
-        _replace_folder(spark, f"{aside}/whole", path)
-        return spark.read.schema(batch.schema).parquet(path)
-
-    moved = target.join(batch.select(key), key, "left_semi").select(partition_by)
-    touched = [r[0] for r in moved.unionByName(batch.select(partition_by)).distinct().collect()]
-    hit = F.col(partition_by).isin([v for v in touched if v is not None])
-    if None in touched:
-        hit = hit | F.col(partition_by).isNull()
-    upsert(target.where(hit), batch, key).write.parquet(f"{aside}/part")
-    fresh = spark.read.schema(batch.schema).parquet(f"{aside}/part").select(*names)
-    (fresh.hint("rebalance", F.col(partition_by)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
-    left = {r[0] for r in fresh.select(partition_by).distinct().collect()}
-    for value in touched:
-        if value not in left and value is not None:
-            _drop_partition(spark, path, partition_by, value)
-    return spark.read.schema(batch.schema).parquet(path)
-
-
-def latest_per_key(batch: DataFrame, key: str, at: Column | str) -> DataFrame:
-    """One row per key, the latest; an aggregate, so copies combine map-side."""
+        return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("string")
+    text = F.col(partition_by).cast("string")
+    return F.sha2(F.coalesce(F.concat(F.lit("v"), text), F.lit("null")).cast("binary"), 256)
+
+
+def _write_parts(spark: SparkSession, rows: DataFrame, path: str, key: str,
+                 partition_by: str | None) -> dict[str, str]:
+    """Write rows to a new data folder; its partition folders."""
+    root = f"{path}/data-{uuid.uuid4().hex}"
+    (rows.withColumn(_PART, _part_of(key, partition_by)).hint("rebalance", F.col(_PART))
+     .write.partitionBy(_PART).parquet(root))
+    mark = f"/{_PART}="
+    return {p.rsplit(mark, 1)[1]: p for p in _listed(spark, root) if mark in p}
+
+
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str,
+                 partition_by: str | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """Upsert into a keyed table; returns its rows with the batch's columns.
+
+    The batch must hold one row per key. With ``order`` (columns, most
+    significant first) the larger of the stored and the new row stays, so late
+    rows cannot replace newer ones; without it the batch wins. Only partitions
+    that receive or lose rows are written again; the others keep their folders.
+    Without ``partition_by`` rows are dealt to ``BUCKETS`` by the hash of the
+    key, and only buckets with keys of the batch are read; with it, the key
+    column alone is read to find rows that move. The driver handles one entry
+    per partition folder, as any file listing does.
+    """
+    aside = scratch_path(spark, "upsert")
+    batch.write.parquet(aside)
+    schema = batch.schema
+    batch = spark.read.schema(schema).parquet(aside)
+    state = _pointer(spark, path)
+    if state is None:
+        plain = spark.read.parquet(path) if _listed(spark, path) else None
+        rows = batch if plain is None else _merged(sync_columns(plain, batch), batch, key, order)
+        state = {"version": 1, "parts": _write_parts(spark, rows, path, key, partition_by)}
+    else:
+        if state["by"] != [key, partition_by]:
+            raise ValueError(f"{path} is kept by {state['by']}, not by {[key, partition_by]}")
+        stored = T.StructType.fromJson(state["schema"])
+        part = _part_of(key, partition_by).alias(_PART)
+        touched = batch.select(part)
+        if partition_by is not None:
+            target = _rows(spark, state, stored, state["parts"])
+            touched = touched.unionByName(target.join(batch.select(key), key, "left_semi").select(part))
+        names = {r[0] for r in touched.distinct().collect()}
+        old = sync_columns(_rows(spark, state, stored, sorted(names)), batch)
+        fresh = _write_parts(spark, _merged(old, batch, key, order), path, key, partition_by)
+        kept = {p: folder for p, folder in state["parts"].items() if p not in names}
+        state = {"version": state["version"] + 1, "parts": kept | fresh}
+    _commit(spark, path, state | {"by": [key, partition_by], "schema": json.loads(schema.json())})
+    return read_keyed(spark, path, schema)
+
+
+def _merged(old: DataFrame, batch: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Stored rows and a batch as one row per key."""
+    if not order:
+        return upsert(old, batch, key)
+    return latest_per_key(old.unionByName(batch), key, *order)
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Delete data folders and pointers that the current version does not use. No reader may be
+    busy with an older version, and no writer with a newer one."""
+    state = _pointer(spark, path)
+    if state is None:
+        return 0
+    used = {folder.rsplit(f"/{_PART}=", 1)[0] for folder in state["parts"].values()}
+    gone = 0
+    for entry in _listed(spark, path):
+        stale = (entry not in used and "/data-" in entry) or (
+            "/pointer-" in entry and not entry.endswith(f"/pointer-{state['version']}.json"))
+        if stale:
+            fs, hadoop = _jvm_fs(spark, entry)
+            gone += fs.delete(hadoop, True)
+    return gone
+
+
+def latest_per_key(batch: DataFrame, key: str, at: Column | str, *ties: str) -> DataFrame:
+    """One row per key, the latest by ``at``, then by ``ties``; an aggregate, so copies combine map-side."""
     at = F.col(at) if isinstance(at, str) else at
     rest = F.struct(*[F.col(c) for c in batch.columns])
-    return batch.groupBy(key).agg(F.max_by(rest, at).alias("r")).select("r.*")
+    return batch.groupBy(key).agg(F.max_by(rest, F.struct(at.alias("at"), *ties)).alias("r")).select("r.*")

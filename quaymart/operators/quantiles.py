@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quaymart.session import stage
+
 
 def _brackets(probs: Sequence[float], accuracy: int) -> Column:
     """n, and per probability a value range that surely holds the quantile.
@@ -31,7 +33,7 @@ def _brackets(probs: Sequence[float], accuracy: int) -> Column:
 
 def exact_quantiles(df: DataFrame, value: Column | str, probs: Sequence[float],
                     by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
-    """Linear-interpolated quantiles ``q0, q1, ...`` and ``n`` per group.
+    """Linear-interpolated quantiles ``q0, q1, ...`` and ``n`` per group; a NULL group is one, too.
 
     Two passes. The first brackets each quantile with a bounded sketch. The
     second counts the distinct values inside the brackets, and for the gaps
@@ -44,7 +46,9 @@ def exact_quantiles(df: DataFrame, value: Column | str, probs: Sequence[float],
     by = list(by)
     rows = df.where(v.isNotNull()).select(*by, v.cast("double").alias("v"))
     if by:
-        tagged = rows.join(rows.groupBy(*by).agg(_brackets(probs, accuracy).alias("b")), by)
+        bounds = rows.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(_brackets(probs, accuracy).alias("b"))
+        same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+        tagged = rows.join(stage(bounds), same).drop(*[f"__{c}" for c in by])
     else:
         tagged = rows.withColumn("b", rows.agg(_brackets(probs, accuracy).alias("b")).scalar())
     inside, below = F.lit(False), []

@@ -62,14 +62,14 @@ def global_rank(df: DataFrame, value: str, key: str, tiles: int | None = None) -
     ``tile`` over (value, key) ascending.
 
     NULL counts as larger than any value, in both directions. The places of a
-    value are found once per distinct value and joined back; a value held by
-    a large part of the rows is split by the adaptive skew join.
+    value are found once per distinct value, staged, and joined back: a value
+    held by a large part of the rows may then be split by the adaptive skew join.
     """
     placed = positions(df, [F.col(value).asc_nulls_last(), F.col(key)], "__pos")
     n = placed.agg(F.count(F.lit(1))).scalar()
     places = placed.groupBy(F.col(value).alias("__v")).agg(
         F.min("__pos").alias("rank_asc"), (n - F.max("__pos") + 1).alias("rank_desc"))
-    out = placed.join(places, F.col(value).eqNullSafe(F.col("__v"))).withColumn("row_total", n)
+    out = placed.join(stage(places), F.col(value).eqNullSafe(F.col("__v"))).withColumn("row_total", n)
     if tiles:
         out = out.withColumn("tile", tile("__pos", n, tiles))
     return out.drop("__pos", "__v")
@@ -87,6 +87,8 @@ def dense_ranks(values: DataFrame, by: Sequence[str], value: str, name: str) ->
     placed = positions(pairs, [*by, F.col(value).desc()], "__pos")
     if not by:
         return placed.withColumnRenamed("__pos", name)
-    first = placed.groupBy(*by).agg(F.min("__pos").alias("__first"))
-    return (placed.join(first, by)
-            .withColumn(name, F.col("__pos") - F.col("__first") + 1).drop("__pos", "__first"))
+    first = placed.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(F.min("__pos").alias("__first"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    return (placed.join(stage(first), same)
+            .withColumn(name, F.col("__pos") - F.col("__first") + 1)
+            .drop("__pos", "__first", *[f"__{c}" for c in by]))

@@ -79,10 +79,11 @@ def _windows(df: DataFrame, groups: Sequence[str], order: Sequence[str], value:
 
 
 def group_stats(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Adds the key's ``group_sum``, ``group_n`` to each row.
+    """Adds the key's ``group_sum``, ``group_n`` to each row; NULL is a key like any other.
 
     Aggregate and join back instead of a window: the aggregate combines
-    map-side, and the join may split a hot key, which a window may not.
+    map-side. It is staged, so the join has a plain shuffle on either side and
+    a hot key's rows may be split.
     """
-    stats = df.groupBy(key).agg(F.sum(value).alias("group_sum"), F.count(value).alias("group_n"))
-    return df.join(stats, key)
+    stats = df.groupBy(F.col(key).alias("__key")).agg(F.sum(value).alias("group_sum"), F.count(value).alias("group_n"))
+    return df.join(stage(stats), F.col(key).eqNullSafe(F.col("__key"))).drop("__key")

@@ -11,6 +11,7 @@ from quaymart.functions import (
 )
 from quaymart.operators.ranking import dense_ranks, global_rank, with_ntile
 from quaymart.operators.running import group_stats, running_by_key
+from quaymart.session import stage
 
 
 def top_per_state(performance: DataFrame, n: int = 3) -> DataFrame:
@@ -181,13 +182,21 @@ def rolling_by_customer(payment: DataFrame, **options) -> DataFrame:
 
 
 def payment_ranks(payment: DataFrame) -> DataFrame:
-    """Dense rank of each payment for its customer, and of the customer's total."""
-    rows = payment.withColumn("cents", to_cents("amount"))
+    """Dense rank of each payment for its customer, and of the customer's total.
+
+    Rows without an amount have no rank for their customer, and customers
+    without any amount none at all; both stay, as do rows without a customer,
+    which count as one.
+    """
+    rows = stage(payment.withColumn("cents", to_cents("amount")))
     inside = dense_ranks(rows, ["customer_id"], "cents", "payment_rank_within_customer")
     totals = rows.groupBy("customer_id").agg(F.sum("cents").alias("total_cents"))
     order = dense_ranks(totals, [], "total_cents", "spend_rank")
-    ranked = totals.join(order, "total_cents").select("customer_id", "spend_rank")
-    return (rows.join(inside, ["customer_id", "cents"]).join(ranked, "customer_id", "left")
+    ranked = stage(totals.join(order, "total_cents").select(F.col("customer_id").alias("__customer"), "spend_rank"))
+    inside = stage(inside.withColumnsRenamed({"customer_id": "__id", "cents": "__cents"}))
+    same = F.col("customer_id").eqNullSafe(F.col("__id")) & (F.col("cents") == F.col("__cents"))
+    return (rows.join(inside, same, "left")
+            .join(ranked, F.col("customer_id").eqNullSafe(F.col("__customer")), "left")
             .select("customer_id", "rental_id", "payment_date", "amount",
                     "payment_rank_within_customer", "spend_rank"))
 

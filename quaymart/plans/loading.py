@@ -239,7 +239,22 @@ def q_incremental_stream_upsert(spark, folder):
     for part in (events.where(early), events.where(~early)):
         part.write.mode("append").parquet(f"{root}/in")
         out = upsert_new_files(spark, f"{root}/in", TABLES["events"], f"{root}/out",
-                               f"{root}/checkpoint", "user_id", "ts")
+                               f"{root}/checkpoint", "user_id", "ts", ties=["event_id"])
+    return out
+
+
+@query("incremental_late_rows", """SELECT user_id, event_id, ts, event_type, value, props
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r
+      FROM events) WHERE r = 1""")
+def q_incremental_late_rows(spark, folder):
+    """The same with the newer half of the events first: late rows must not win."""
+    events = market(spark, folder).t.events
+    root = scratch_path(spark, "late-upsert")
+    late = F.col("ts") < F.lit(EVENT_CUT).cast("timestamp_ntz")
+    for part in (events.where(~late), events.where(late)):
+        part.write.mode("append").parquet(f"{root}/in")
+        out = upsert_new_files(spark, f"{root}/in", TABLES["events"], f"{root}/out",
+                               f"{root}/checkpoint", "user_id", "ts", "event_type", ["event_id"])
     return out
 
 

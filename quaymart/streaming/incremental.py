@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -28,22 +28,23 @@ def load_new_files(spark: SparkSession, source: str, schema: T.StructType, targe
 
 
 def upsert_new_files(spark: SparkSession, source: str, schema: T.StructType, target: str,
-                     checkpoint: str, key: str, at: str,
-                     partition_by: str | None = None) -> DataFrame:
+                     checkpoint: str, key: str, at: str, partition_by: str | None = None,
+                     ties: Sequence[str] = ()) -> DataFrame:
     """Upsert the files that arrived since the last run, the latest row per key.
 
-    Each micro-batch is one upsert; repeating a batch after a failure writes
-    the same rows again, so the result does not change.
+    Latest is by ``at``, then by ``ties``, over the batch and the stored row, so
+    a row that arrives late does not replace a newer one. Each micro-batch is
+    one upsert; repeating a batch after a failure gives the same rows again.
     """
-    from quaymart.operators.incremental import latest_per_key, upsert_table
+    from quaymart.operators.incremental import latest_per_key, read_keyed, upsert_table
 
     def merge(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            upsert_table(batch.sparkSession, target, latest_per_key(batch, key, at), key,
-                         partition_by)
+            upsert_table(batch.sparkSession, target, latest_per_key(batch, key, at, *ties), key,
+                         partition_by, order=[at, *ties])
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(source)
     job = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
            .trigger(availableNow=True).start())
     job.awaitTermination()
-    return spark.read.schema(schema).parquet(target)
+    return read_keyed(spark, target, schema)

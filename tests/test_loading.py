@@ -53,6 +53,53 @@ def test_upsert_is_idempotent(spark, part):
     assert pairs(got) == [(1, "a"), (2, "B"), (3, "c"), (4, "D")]
 
 
+def test_upsert_keeps_odd_partitions(spark):
+    """Values that look like numbers, hold slashes or are NULL; keys that move between them."""
+    schema = "id bigint, p string"
+    where = path(spark, "odd")
+    table = lambda rows: spark.createDataFrame(rows, schema)
+    I.upsert_table(spark, where, table([(1, "01"), (2, "02"), (3, "a/b"), (4, None), (5, "x=y"), (6, "")]), "id", "p")
+    got = I.upsert_table(spark, where, table([(1, "02"), (3, "02"), (4, "a/b"), (5, None), (7, "1")]), "id", "p")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, "02"), (2, "02"), (3, "02"), (4, "a/b"), (5, None), (6, ""), (7, "1")], key=str)
+    assert I.vacuum(spark, where) > 0
+    assert I.read_keyed(spark, where).count() == 7
+    with pytest.raises(ValueError, match="kept by"):
+        I.upsert_table(spark, where, table([(1, "x")]), "id")
+
+
+@pytest.mark.parametrize("part", [None, "v"])
+def test_late_rows_lose(spark, part):
+    where = path(spark, "late")
+    rows = lambda *r: spark.createDataFrame(list(r), ROWS)
+    I.upsert_table(spark, where, rows((1, "ten", D(2020, 1, 10)), (2, "b", D(2020, 1, 1))), "id", part, ["at"])
+    got = I.upsert_table(spark, where, rows((1, "five", D(2020, 1, 5)), (2, "B", D(2020, 1, 2))), "id", part, ["at"])
+    assert pairs(got) == [(1, "ten"), (2, "B")]
+
+
+def test_crash_before_pointer_keeps_old_version(spark, monkeypatch):
+    where = path(spark, "crash")
+    I.upsert_table(spark, where, spark.createDataFrame([(1, "a")], "id bigint, v string"), "id")
+    two = spark.createDataFrame([(1, "b"), (2, "c")], "id bigint, v string")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "_commit", fail)
+        with pytest.raises(OSError, match="lost"):
+            I.upsert_table(spark, where, two, "id")
+    assert pairs(I.read_keyed(spark, where)) == [(1, "a")]
+    assert pairs(I.upsert_table(spark, where, two, "id")) == [(1, "b"), (2, "c")]
+
+
+def test_upsert_over_plain_folder(spark):
+    where = path(spark, "plain")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string").write.parquet(where)
+    got = I.upsert_table(spark, where, spark.createDataFrame([(2, "B")], "id bigint, v string"), "id")
+    assert pairs(got) == [(1, "a"), (2, "B")]
+
+
 def test_upsert_syncs_columns(spark):
     old = spark.createDataFrame([(1, "a", 5)], "id bigint, v string, gone int")
     new = spark.createDataFrame([(2, "b", 1.5)], "id bigint, v string, added double")
