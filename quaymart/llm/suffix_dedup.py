@@ -188,72 +188,91 @@ def _each(raw: np.ndarray, start: np.ndarray, size: np.ndarray, salt: int) -> np
     return mix(out + size.astype(np.uint64)).view(np.int64)
 
 
-# The transforms: strings are bytes + 1, each closed by symbol 0 and read as a circle.
+# The transforms: strings of bytes, each closed by a byte that UTF-8 never has and read as a circle.
+END = 0xFF
 
 
 def transform(strings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted rotations (to SPAN symbols at least) of a shard, as places in its text, and the symbols before them."""
     sizes = np.array([len(s) + 1 for s in strings], np.int64)
     starts = np.cumsum(sizes) - sizes
-    text = np.zeros(int(sizes.sum()), np.int64)
+    text = np.full(int(sizes.sum()), END, np.uint8)
     for s, a in zip(strings, starts.tolist()):
-        text[a:a + len(s)] = s.astype(np.int64) + 1
+        text[a:a + len(s)] = s
     start, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
     place = np.arange(len(text)) - start
-    rank, step = text, 1
+
+    def ahead(step: int) -> np.ndarray:
+        return start + (place + step) % size
+
+    key = np.zeros(len(text), np.uint64)
+    for j in range(8):
+        key = key << np.uint64(8) | text[ahead(j)]
+    step = 8
     while True:
-        ahead = rank[start + (place + step) % size]
-        order = np.argsort(rank * (int(rank.max()) + 1) + ahead, kind="stable")
-        key_a, key_b = rank[order], ahead[order]
-        new = np.concatenate([[0], ((key_a[1:] != key_a[:-1]) | (key_b[1:] != key_b[:-1])).cumsum()])
-        rank = np.empty_like(rank)
+        order = np.argsort(key)
+        key = key[order]
+        new = np.concatenate([[0], (key[1:] != key[:-1]).cumsum()])
+        if step >= SPAN or new[-1] == len(text) - 1:
+            return order, text[ahead(-1)][order]
+        rank = np.empty_like(new)
         rank[order] = new
+        key = (rank * (int(new[-1]) + 1) + rank[ahead(step)]).astype(np.uint64)
         step *= 2
-        if step >= SPAN or new[-1] == len(text) - 1:
-            break
-    before = text[start + (place - 1) % size]
-    return order, before[order].astype(np.uint16)
-
-
-def refine(befores: list[np.ndarray], depth: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of shards after ``depth`` rounds: the shard of each merged rank, and its block of equal prefixes."""
-    shard = np.repeat(np.arange(len(befores)), [len(b) for b in befores]).astype(np.uint16)
-    block = np.zeros(len(shard), np.int32)
-    symbols = np.empty(len(shard), np.uint16)
-    for _ in range(depth):
-        for k, b in enumerate(befores):
+
+
+def refine(befores: list[np.ndarray], ahead: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave of shards by SPAN symbols: the shard of each merged rank, and its block of equal prefixes.
+
+    ``befores`` are the shards' transforms; ``ahead`` has, for each of their ranks, the least and the largest round
+    (exclusive) in which it is a window's suffix that still lacks its first symbols: round r extends the suffixes that
+    begin SPAN - r bytes into a window by the symbol before them. Other ranks would not change the result.
+    """
+    shard = block = None
+    for r in range(SPAN):
+        live = [b[(first <= r) & (r < last)] for b, (first, last) in zip(befores, ahead)]
+        if shard is None:
+            shard = np.repeat(np.arange(len(live)), [len(b) for b in live]).astype(np.uint8)
+            block = np.zeros(len(shard), np.int32)
+            symbols = np.empty(len(shard), np.uint8)
+        for k, b in enumerate(live):
             symbols[shard == k] = b
         order = np.argsort(symbols, kind="stable")
-        shard, block, sorted_symbols = shard[order], block[order], symbols[order]
-        split = (sorted_symbols[1:] != sorted_symbols[:-1]) | (block[1:] != block[:-1])
+        shard, block, ordered = shard[order], block[order], symbols[order]
+        split = (ordered[1:] != ordered[:-1]) | (block[1:] != block[:-1])
         block = np.concatenate([[0], np.cumsum(split, dtype=np.int32)]).astype(np.int32)
-        if len(block) and block[-1] == len(block) - 1:
-            break           # all prefixes differ: no repeated interval is left
     return shard, block
 
 
 def repeats(cells: list[np.ndarray], doc: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows (doc, start) of the cells that equal an earlier window of another cell."""
+    # At most 255 shards, which one byte tells apart.
+    most = max(SHARD, sum(map(len, cells)) // 200)
     shards: list[list[int]] = [[]]
     held = 0
     for i, cell in enumerate(cells):
-        if held + len(cell) > SHARD and shards[-1]:
+        if held + len(cell) > most and shards[-1]:
             shards.append([])
             held = 0
         shards[-1].append(i)
         held += len(cell) + 1
-    orders, befores = zip(*(transform([cells[i] for i in rows]) for rows in shards))
-    shard, block = refine(list(befores))
-    which, offset = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
-    for k, rows in enumerate(shards):
+    befores, ahead, places = [], [], []
+    for rows in shards:
+        order, before = transform([cells[i] for i in rows])
         sizes = np.array([len(cells[i]) + 1 for i in rows], np.int64)
-        cell = np.repeat(np.array(rows), sizes)
-        place = np.arange(len(cell)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        cell = np.repeat(np.array(rows), sizes)[order]
+        offset = (np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order]
+        windows = np.repeat(sizes, sizes)[order] - SPAN
+        # Offset i + SPAN - r for a window i in [0, windows): in rounds SPAN - offset to SPAN - offset + windows.
+        befores.append(before)
+        ahead.append((np.maximum(SPAN - offset, 0).astype(np.int16), (SPAN - offset + windows).astype(np.int16)))
+        whole = offset < windows
+        places.append((cell[whole], offset[whole]))
+    shard, block = refine(befores, ahead)
+    which, offset = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
+    for k, (cell, begin) in enumerate(places):
         at = shard == k
-        which[at], offset[at] = cell[orders[k]], place[orders[k]]
-    size = np.array([len(c) for c in cells], np.int64)
-    whole = offset + SPAN <= size[which]
-    which, offset, block = which[whole], offset[whole], block[whole]
+        which[at], offset[at] = cell, begin
     docs, start = doc[which], first[which] + offset
     order = np.lexsort((start, docs, block))
     docs, start, block = docs[order], start[order], block[order]
