@@ -134,31 +134,36 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "elements"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _both_sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for x, y in zip(batch.column("left"), batch.column("right")):
+        yield np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+
+
+def _inside(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of x (sorted) are in y (sorted, not empty)."""
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        linked = []
-        for x, y in zip(batch.column("left"), batch.column("right")):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = int((y[at] == x).sum())
-            linked.append(DEN * both >= NUM * (len(x) + len(y) - both))
-        keep = pa.array(linked, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. A pair whose set sizes rule it out is not compared."""
-    for side in ("a", "b"):
-        pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}")), side)
-    fit = (F.least("n_a", "n_b") * DEN >= F.greatest("n_a", "n_b") * NUM)
-    pairs = pairs.filter(fit).select("a", "b").distinct()
-    full = (
+        found = [(len(x), len(y), int(_inside(*((x, y) if len(x) <= len(y) else (y, x))).sum())) for x, y in _both_sets(batch)]
+        cols = list(zip(*found)) or [[], [], []]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(c, pa.int64()) for c in cols]], ["a", "b", "n_a", "n_b", "both"])
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return (
         pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("left")), "a")
         .join(sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("right")), "b")
     )
-    return full.select("a", "b", "left", "right").mapInArrow(_verify, "a bigint, b bigint").distinct()
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Sizes and intersection of the full sets of each pair (a, b)."""
+    return _with_sets(pairs, sets).select("a", "b", "left", "right").mapInArrow(_overlap, "a bigint, b bigint, n_a bigint, n_b bigint, both bigint")
+
+
+LINKED = f"both * {NUM + DEN} >= (n_a + n_b) * {NUM}"
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -176,11 +181,11 @@ def classes(docs: DataFrame) -> DataFrame:
     sets = stage(docs.select("doc_id", "text").join(involved.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"))
                  .select("doc_id", "text").mapInArrow(_sets, "doc_id bigint, elements binary"))
     sizes = stage(known.join(involved, F.col("doc_id") == F.col("rep")).select("doc_id", "n_shingles").distinct())
-    tried = stage(members.filter("rep > lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
-    links = stage(verified(tried, sets, sizes).unionByName(_same_id(known, names)))
+    tried = stage(overlaps(members.filter("rep > lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), sets))
+    links = stage(tried.filter(LINKED).select("a", "b").distinct().unionByName(_same_id(known, names)))
     ties = components(links)
-    rest = stage(_across(members, ties, sets, sizes).join(tried, ["a", "b"], "left_anti"))
-    more = stage(verified(rest, sets, sizes))
+    rest = stage(_across(members, ties, tried, sets, sizes).join(tried, ["a", "b"], "left_anti"))
+    more = stage(overlaps(rest, sets).filter(LINKED).select("a", "b").distinct())
     if not more.isEmpty():
         ties = components(ties.select(F.col("v").alias("a"), F.col("u").alias("b")).unionByName(more))
     rep_of = names.withColumnRenamed("name_a", "a").withColumnRenamed("name_b", "b")
@@ -215,17 +220,39 @@ def _mixed(placed: DataFrame) -> DataFrame:
     return placed.join(keys, "key")
 
 
-def _across(members: DataFrame, ties: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For pairs of a lead (a, left) and a member (b, right): the member's elements that the lead lacks, as many in
+    hash order as a prefix filter needs. A link with anybody takes NUM/DEN of the member's elements, of which the lead
+    can give ``both``; the rest must be shared outside the lead, so all but (rest - 1) elements have to be tried."""
+    for batch in batches:
+        leads, members, flat = [], [], []
+        for lead, member, (x, y) in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _both_sets(batch)):
+            rest = y[~_inside(y, x)]
+            need = max(1, -(-NUM * len(y) // DEN) - (len(y) - len(rest)))
+            rest = rest[: max(len(rest) - need + 1, 0)]
+            leads.append(np.full(len(rest), lead))
+            members.append(np.full(len(rest), member))
+            flat.append(rest)
+        if flat:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(leads), pa.int64()), pa.array(np.concatenate(members), pa.int64()),
+                                              pa.array(np.concatenate(flat).view(np.int64))], ["lead", "rep", "element"])
+
+
+def _across(members: DataFrame, ties: DataFrame, tried: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs of one bucket that are in different components so far and may still be linked.
 
-    A link needs an intersection of at least 3/7 of both sizes together. An element that no other member of a mixed
-    bucket holds is in no intersection, so a member's other elements bound all its intersections. This settles
-    heavily edited copies in a large group, which share buckets with all of it, without comparing them.
+    A link needs an intersection of at least 3/7 of both sizes together (``LINKED``). Two exact bounds on it keep
+    heavily edited copies in a large group, which share buckets with all of it, from being compared with all:
+
+    - an element that no other member of a mixed bucket holds is in no intersection;
+    - an intersection has at most the smaller of what both share with the bucket's lead, plus what they share
+      outside it. So either the former is enough by itself, or both hold an element that the lead lacks, which an
+      index of those elements finds.
     """
-    placed = members.join(ties, F.col("rep") == F.col("u"), "left").select("key", "rep", F.coalesce("v", "rep").alias("comp"))
+    placed = members.filter("rep > lead").join(ties, F.col("rep") == F.col("u"), "left").select("key", "lead", "rep", F.coalesce("v", "rep").alias("comp"))
     placed = stage(_mixed(stage(placed)))
     while True:
-        pool = placed.select("rep").distinct()
+        pool = placed.select("rep").union(placed.select("lead")).distinct()
         held = sets.join(pool, F.col("doc_id") == F.col("rep")).select("doc_id", "elements").mapInArrow(_elements, "doc_id bigint, element bigint")
         alone = (
             held.groupBy("element").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("other")).filter("id = other")
@@ -235,18 +262,31 @@ def _across(members: DataFrame, ties: DataFrame, sets: DataFrame, sizes: DataFra
                       .join(alone, F.col("rep") == F.col("id"), "left")
                       .select(F.col("rep").alias("of"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
                       .filter(F.col("most") * DEN >= F.col("n") * NUM))
-        left = stage(_mixed(stage(placed.join(bound, F.col("rep") == F.col("of")).select("key", "rep", "comp", "n", "most"))))
+        left = stage(_mixed(stage(placed.join(bound, F.col("rep") == F.col("of")).select("key", "lead", "rep", "comp", "n", "most"))))
         # Those that are out may have held the only copies of an element: look again while many leave.
         before, after = placed.count(), left.count()
         if after * 10 > before * 9:
             break
-        placed = stage(left.select("key", "rep", "comp"))
-    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "comp", "n", "most")])
-    need = (F.col("n") + F.col("n_b")) * NUM <= F.least("most", "most_b") * (NUM + DEN)
-    apart = (F.col("rep") < F.col("rep_b")) & (F.col("comp") != F.col("comp_b"))
-    alike = F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM
-    pairs = left.join(right, (left["key"] == right["key"]) & apart & need & alike)
-    return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
+        placed = stage(left.select("key", "lead", "rep", "comp"))
+
+    def pairs(rows: DataFrame, on: list[str], bounds: list[str]) -> DataFrame:
+        other = rows.select(*on, *[F.col(c).alias(f"{c}_b") for c in ("rep", "comp", *bounds)])
+        need = (F.col("n") + F.col("n_b")) * NUM
+        fit = (F.col("rep") < F.col("rep_b")) & (F.col("comp") != F.col("comp_b"))
+        fit &= F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM
+        for c in bounds[1:]:
+            fit &= F.least(c, f"{c}_b") * (NUM + DEN) >= need
+        same = [rows[c] == other[c] for c in on]
+        return rows.join(other, [*same, fit]).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
+
+    of_lead = tried.groupBy("a", "b").agg(F.max("both").alias("both"))
+    known = stage(left.join(of_lead, (F.col("lead") == F.col("a")) & (F.col("rep") == F.col("b"))).drop("a", "b"))
+    near_lead = pairs(known, ["key"], ["n", "most", "both"])
+    once = stage(known.select("lead", "rep", "comp", "n", "most").distinct())
+    extra = _with_sets(once.select(F.col("lead").alias("a"), F.col("rep").alias("b")), sets).select("a", "b", "left", "right")
+    extra = extra.mapInArrow(_outside, "lead bigint, rep bigint, element bigint")
+    indexed = stage(extra.join(once, ["lead", "rep"]).distinct())
+    return near_lead.unionByName(pairs(indexed, ["lead", "element"], ["n", "most"])).distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
