@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quaymart.operators.neighbours import nearest
 from quaymart.operators.ranking import positions
@@ -13,21 +14,35 @@ from quaymart.session import stage
 
 SEED = 42
 MAX_CLASSES = 100
+FIT_ROWS = 1000
 
 
 def in_train(key: str, share: int = 80, seed: int = SEED) -> Column:
     """A row's side of the split, from its key alone.
 
-    The hash is independent of the class, so each class is cut in the same
-    proportion, and neither partitioning nor recomputation moves a row.
+    The hash (md5, which every engine has) is independent of the class, so each
+    class is cut in the same proportion, and neither partitioning nor
+    recomputation moves a row.
     """
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(100)) < share
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint") % 100 < share
 
 
 def fold(key: str, folds: int, seed: int = SEED) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(folds)).cast("int")
 
 
+def fit_sample(df: DataFrame, key: str, label: str, rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
+    """At most ``rows`` rows of each class, those with the least hash of the key.
+
+    The bound on the labelled rows that balanced models are fitted on: the
+    neighbour search of ``smote`` then meets a bounded class, however large the
+    table is. Scoring reads all rows.
+    """
+    order = Window.partitionBy(label).orderBy(F.xxhash64(F.lit(seed + 4), F.col(key)), F.col(key))
+    return df.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= rows).drop("__n")
+
+
 def split_counts(df: DataFrame, key: str, label: str, share: int = 80) -> DataFrame:
     side = in_train(key, share)
     return df.groupBy(label).agg(F.count_if(side).alias("train_rows"),
@@ -52,8 +67,8 @@ def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataF
 
 
 def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5,
-          seed: int = SEED, cell_rows: int | None = None) -> DataFrame:
-    """Adds synthetic rows until every class is as large as the largest.
+          seed: int = SEED, cell_rows: int | None = None, ratio: float = 1.0) -> DataFrame:
+    """Adds synthetic rows until every class has ``ratio`` times the rows of the largest.
 
     A synthetic row lies on the line from a minority row to one of its
     ``min(k, rows - 1)`` nearest rows of the same class. Equal rows are
@@ -68,10 +83,11 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
     largest = max(counts.values(), default=0)
     out = df.withColumn("synthetic", F.lit(False))
     for value, n in counts.items():
-        if n < largest and n > 1:
+        need = int(ratio * largest) - n
+        if need > 0 and n > 1:
             rows = df.where(F.col(label) == value).select(
                 key, F.array(*features).alias("x"))
-            made = _synthesize(rows, key, min(k, n - 1), largest - n, n, seed, cell_rows)
+            made = _synthesize(rows, key, min(k, n - 1), need, n, seed, cell_rows)
             out = out.unionByName(made.select(
                 F.lit(None).cast(df.schema[key].dataType).alias(key),
                 F.lit(value).cast(df.schema[label].dataType).alias(label),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaymart.functions import half_up, ordinal, pct, ratio, rint_to, to_cents
-from quaymart.operators.balance import SEED, fold, in_train, smote, with_class_weights
+from quaymart.operators.balance import fit_sample, SEED, fold, in_train, smote, with_class_weights
 from quaymart.operators.quantiles import exact_median
 from quaymart.session import scratch_path
 from quaymart.sources.files import write_json_row
@@ -174,8 +174,9 @@ def fit_forest(train: DataFrame, features: Sequence[str], trees: int = 100, dept
 
 def fit_balanced_forest(train: DataFrame, key: str, features: Sequence[str], trees: int = 100,
                         depth: int = 10) -> PipelineModel:
-    """Synthetic minority rows, scaling, forest. Only training rows are balanced."""
-    return fit_forest(smote(train, key, features, "target"), features, trees, depth)
+    """Synthetic minority rows, scaling, forest. Only training rows are balanced, at most
+    ``FIT_ROWS`` of each class (see ``fit_sample``)."""
+    return fit_forest(smote(fit_sample(train, key, "target"), key, features, "target"), features, trees, depth)
 
 
 def split(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -194,8 +195,9 @@ def importances(model: PipelineModel, features: Sequence[str]) -> list[tuple[str
 
 
 # The full forest grid (minimum split size has no Spark twin; the
-# depth 'unlimited' is bounded).
-FULL_GRID = {"numTrees": (50, 100), "maxDepth": (3, 5, 12), "minInstancesPerNode": (1, 2)}
+# depth 'unlimited' is 30, the most that Spark allows).
+UNLIMITED = 30
+FULL_GRID = {"numTrees": (50, 100), "maxDepth": (3, 5, UNLIMITED), "minInstancesPerNode": (1, 2)}
 
 
 def grid_search(train: DataFrame, key: str, features: Sequence[str],
@@ -222,13 +224,15 @@ def grid_search(train: DataFrame, key: str, features: Sequence[str],
 
 def cross_scores(df: DataFrame, key: str, features: Sequence[str], folds: int = 5,
                  trees: int = 100, depth: int = 10) -> DataFrame:
-    """Weighted F1 per fold: balance and fit on the other folds, score on this one."""
+    """F1 per fold, weighted (``f1``) and of the positive class (``f1_positive``): balance and
+    fit on the other folds, score on this one."""
     tagged = df.withColumn("fold", fold(key, folds))
     out = None
     for i in range(folds):
         model = fit_balanced_forest(tagged.where(F.col("fold") != i), key, features, trees, depth)
-        row = classification_metrics(model.transform(tagged.where(F.col("fold") == i)),
-                                     "target", "prediction").select(F.lit(i).alias("fold"), "f1")
+        scored = model.transform(tagged.where(F.col("fold") == i))
+        row = classification_metrics(scored, "target", "prediction").select(F.lit(i).alias("fold"), "f1")
+        row = row.crossJoin(positive_f1(scored, "target", "prediction"))  # one row by one row
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -270,11 +274,19 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
         rint_to(r1, 4).alias("recall_1"))
 
 
+def positive_f1(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """F1 of class 1 as the one row ``f1_positive``: 2 hits / (actual + predicted)."""
+    y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
+    both = (F.count_if(y == 1) + F.count_if(p == 1)).cast("double")
+    f1 = 2 * F.count_if((y == 1) & (p == 1)) / F.nullif(both, F.lit(0.0))
+    return df.agg(rint_to(F.coalesce(f1, F.lit(0.0)), 4).alias("f1_positive"))
+
+
 def compare_variants(df: DataFrame, key: str, features: Sequence[str], trees: int = 100,
                      depth: int = 10) -> DataFrame:
     """Logistic regression and forest, each without and with synthetic rows."""
     train, test = split(df, key)
-    balanced = smote(train, key, features, "target")
+    balanced = smote(fit_sample(train, key, "target"), key, features, "target")
     models = {
         "LR (no SMOTE)": fit_logistic(train, features),
         "LR + SMOTE": fit_logistic(balanced, features, weighted=False),
@@ -355,16 +367,10 @@ def drift_verdict(metrics: DataFrame) -> DataFrame:
     drop = base - now
     drift, warn = drop >= F.lit(DRIFT_DROP).cast(exact), drop >= F.lit(WARN_DROP).cast(exact)
 
-    def share(x):
-        return F.concat((x * 100).cast("decimal(6,1)").cast("string"), F.lit("%"))
-
-    pair = F.concat(F.lit("(baseline="), share(base), F.lit(", current="), share(now), F.lit(")"))
-    message = (
-        F.when(drift, F.concat(F.lit("DRIFT DETECTED: accuracy dropped "), share(drop), F.lit(" "),
-                               pair, F.lit(". Consider retraining with fresh data.")))
-        .when(warn, F.concat(F.lit("Accuracy declining: "), share(drop), F.lit(" drop "), pair,
-                             F.lit(". Monitor closely.")))
-        .otherwise(F.concat(F.lit("No drift: accuracy delta="), share(drop), F.lit(" "), pair)))
+    points = (drop * 100).cast("decimal(6,1)").cast("string")
+    message = F.concat(
+        F.when(drift, "retrain: ").when(warn, "watch: ").otherwise("stable: "), points,
+        F.lit(" points below "), base.cast("string"), F.lit(" at "), now.cast("string"))
     return metrics.withColumns({
         "baseline_accuracy": base.cast("double"), "current_accuracy": now.cast("double"),
         "delta": drop.cast("double"),

@@ -11,9 +11,9 @@ from quaymart.operators import marts as M
 from quaymart.operators import rentals as R
 from quaymart.operators.incremental import newer_than, upsert_table, watermark
 from quaymart.operators.jobs import (
-    Job, Model, append_audit, build_models, read_audit, row_gate,
+    Job, Model, build_models, read_audit, row_gate,
 )
-from quaymart.plans.marts import LTV_CUTS, MONTHS_FROM, last_purchase, market
+from quaymart.plans.marts import LTV_CUTS, MONTHS_FROM, last_purchase, market, performance
 from quaymart.plans.registry import query
 from quaymart.plans.rentals import SPEND_EDGES, rentals
 from quaymart.plans.twins import r_up, twin
@@ -149,7 +149,8 @@ class CustomerJob(Job):
 
 
 def run_customer_job(spark, folder):
-    job = CustomerJob(spark, folder, scratch_path(spark, "customer-job"))
+    audit = scratch_path(spark, "audit")
+    job = CustomerJob(spark, folder, scratch_path(spark, "customer-job"), audit_path=audit)
     return job, job.run()
 
 
@@ -168,10 +169,8 @@ def q_customer_job(spark, folder):
     'customer_lifetime' AS target_table, count(*) AS rows_loaded, 'success' AS status
 FROM customer""")
 def q_audit_append(spark, folder):
-    result = run_customer_job(spark, folder)[1]
-    path = scratch_path(spark, "audit")
-    append_audit(spark, path, result)
-    return read_audit(spark, path).select("pipeline_name", "source_table", "target_table",
+    job, _ = run_customer_job(spark, folder)
+    return read_audit(spark, job.audit_path).select("pipeline_name", "source_table", "target_table",
                                           "rows_loaded", "status")
 
 
@@ -278,11 +277,13 @@ def mart_models(m):
             ("order_facts", "stg_customers")),
         "monthly_revenue": Model(lambda b: M.monthly_revenue(b["order_facts"], since),
                                  ("order_facts",)),
+        "mart_seller_performance": Model(lambda _: performance(m)),
+        "mart_product_analytics": Model(lambda _: M.product_analytics(
+            m.products, m.category_translation, m.order_items, m.orders, m.order_reviews)),
     }
 
 
-@query("mart_chain", twin("v_ltv v_order_metrics v_months stg_payments", """
-SELECT 'order_facts' AS model, 'table' AS materialized, count(*) AS row_count FROM orders
+CHAIN_ROWS = """SELECT 'order_facts' AS model, 'table' AS materialized, count(*) AS row_count FROM orders
 UNION ALL SELECT 'stg_customers', 'view', count(*) FROM m_customers
 UNION ALL SELECT 'mart_customer_ltv', 'table', count(*) FROM v_ltv
 UNION ALL SELECT 'mart_order_metrics', 'incremental', count(*) FROM v_order_metrics
@@ -290,7 +291,12 @@ UNION ALL SELECT 'mart_seller_summary', 'table', count(DISTINCT l_suppkey) FROM
     JOIN m_orders ON l_orderkey = order_id WHERE order_status = 'delivered'
 UNION ALL SELECT 'mart_product_metrics', 'table', count(*) FROM m_orders
     JOIN stg_payments USING (order_id) WHERE order_status = 'delivered'
-UNION ALL SELECT 'monthly_revenue', 'table', count(*) FROM v_months"""))
+UNION ALL SELECT 'monthly_revenue', 'table', count(*) FROM v_months
+UNION ALL SELECT 'mart_seller_performance', 'table', count(*) FROM v_performance
+UNION ALL SELECT 'mart_product_analytics', 'table', count(*) FROM v_products"""
+
+
+@query("mart_chain", twin("v_ltv v_order_metrics v_months v_performance v_products stg_payments", CHAIN_ROWS))
 def q_mart_chain(spark, folder):
     """All models in dependency order; one pass over the line table feeds five marts."""
     models = mart_models(market(spark, folder))

@@ -161,44 +161,41 @@ class Tiny(J.Job):
 
 def test_job_counts_come_from_the_load(spark):
     job = Tiny(spark, path(spark, "job"))
-    result = job.run()
-    assert result.success and result.attempts_used == 1
-    assert (result.rows_extracted, result.rows_loaded) == (10, 6)
-    assert job.loaded().count() == 6 and result.elapsed_seconds > 0
-    assert spark.read.option("header", True).csv(result.export_path).count() == 6
-
-
-def test_job_retries_with_linear_wait(spark):
-    waits = []
-    job = Tiny(spark, path(spark, "job"), fail=2, retry_wait_s=2, sleep=waits.append)
-    assert job.run().attempts_used == 3 and waits == [2, 4]
-
+    done = job.run()
+    assert (done.status, done.tries, done.rows_in, done.rows_out) == ("success", 1, 10, 6)
+    assert job.loaded().count() == 6 and done.seconds > 0
+    assert spark.read.option("header", True).csv(done.export).count() == 6
+
+
+def test_job_retries_then_leaves_a_record(spark):
+    waits, audit = [], path(spark, "audit")
+    patient = J.Retry(3, 2, waits.append)
+    assert Tiny(spark, path(spark, "job"), fail=2, retry=patient).run().tries == 3 and waits == [2, 4]
+    with pytest.raises(J.JobFailed) as failed:
+        Tiny(spark, path(spark, "job"), fail=9, retry=J.Retry(2, 0, lambda _: None), audit_path=audit).run()
+    assert failed.value.outcome.tries == 2
+    record = J.read_audit(spark, audit).first()
+    assert (record.status, record.rows_loaded, record.error_message) == ("failed", 0, "source not ready")
+    with pytest.raises(ValueError):
+        J.Retry(0)
 
-@pytest.mark.parametrize("retries", [1, 2, 3])
-def test_job_raises_after_last_attempt(spark, retries, caplog):
-    waits, ended = [], []
-    job = Tiny(spark, path(spark, "job"), fail=9, max_retries=retries, sleep=waits.append)
-    job.post_run = ended.append
-    with caplog.at_level(logging.ERROR), pytest.raises(RuntimeError, match="not ready"):
-        job.run()
-    assert job.calls == retries and len(waits) == retries - 1
-    assert job.result.status == "failed" and "not ready" in job.result.error_message
-    assert ended == [job.result]
-    assert any(r.levelname == "CRITICAL" for r in caplog.records)
 
+def test_empty_result_is_a_success(spark):
+    class Nothing(Tiny):
+        def transform(self, df):
+            return df.where("false")
 
-def test_job_rejects_bad_retries(spark):
-    with pytest.raises(ValueError):
-        Tiny(spark, "x", max_retries=0)
+    done = Nothing(spark, path(spark, "job")).run()
+    assert (done.status, done.rows_out) == ("success", 0)
 
 
 def test_audit_never_fails_the_job(spark):
     where = path(spark, "audit")
-    result = Tiny(spark, path(spark, "job")).run()
-    assert J.append_audit(spark, where, result) and J.append_audit(spark, where, result)
+    done = Tiny(spark, path(spark, "job"), audit_path=where).run()
+    assert J.append_audit(spark, where, done)
     assert J.read_audit(spark, where).count() == 2
-    assert J.append_audit(spark, "nosuchscheme://x/y", result) is False
-    assert J.sla_missed(result, 0).status == "sla_miss" and J.sla_missed(result, 1e6) is None
+    assert J.append_audit(spark, "nosuchscheme://x/y", done) is False
+    assert J.sla_missed(done, 0).status == "sla_miss" and J.sla_missed(done, 1e6) is None
 
 
 @pytest.mark.parametrize("n,step", [(499, "notify_low_count"), (500, "validate_full_load")])
