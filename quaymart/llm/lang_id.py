@@ -197,9 +197,14 @@ def _profile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def train(docs: DataFrame, learn: Column | None = None, per_language: int = PER_LANGUAGE) -> Model:
     """A model from (text, lang) of the rows that ``learn`` allows; the sample is bounded per language."""
     rows = docs if learn is None else docs.filter(learn)
+    rows = rows.filter(F.col("lang").isNotNull()).select("lang", "text")
+    # Only about twice the sample goes to the window: rows whose hash is below the share that this is of the language.
+    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * per_language / F.count("*")).alias("share"))
+    part = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    few = rows.join(share.withColumnRenamed("lang", "_lang"), F.col("lang") == F.col("_lang")).filter(part < F.col("share"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text", "lang"), "text")
     rows = (
-        rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
+        few.filter(F.col("text").rlike(r"\p{L}")).select("lang", "text")
         .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).drop("_n")
     )
     found = rows.mapInArrow(_profile_rows, "lang string, profile binary").toArrow()
