@@ -201,7 +201,9 @@ def train(docs: DataFrame, learn: Column | None = None, per_language: int = PER_
     # Only about twice the sample goes to the window: rows whose hash is below the share that this is of the language.
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * per_language / F.count("*")).alias("share"))
     part = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    few = rows.join(share.withColumnRenamed("lang", "_lang"), F.col("lang") == F.col("_lang")).filter(part < F.col("share"))
+    # One row per language, of which the model itself holds DIM numbers: far smaller than the model that is broadcast below.
+    share = F.broadcast(share.withColumnRenamed("lang", "_lang"))
+    few = rows.join(share, F.col("lang") == F.col("_lang")).filter(part < F.col("share"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text", "lang"), "text")
     rows = (
         few.filter(F.col("text").rlike(r"\p{L}")).select("lang", "text")
