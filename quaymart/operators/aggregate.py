@@ -46,10 +46,11 @@ def status_pivot(runs: DataFrame, name: str, status: str, values: Sequence[str])
     """Counts per name, one column per status; absent pairs are 0.
 
     The statuses are given, so the pivot needs no pass to find them and is one
-    combining aggregate.
+    combining aggregate. Any other status, NULL too, counts in ``other``.
     """
+    known = F.coalesce(F.col(status).isin(*values), F.lit(False))
     return runs.groupBy(name).agg(
-        *[F.count_if(F.col(status) == v).alias(v) for v in values])
+        *[F.count_if(F.col(status) == v).alias(v) for v in values], F.count_if(~known).alias("other"))
 
 
 def run_summary(runs: DataFrame, status: str, good: str, bad: str, value: str, at: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,34 +32,32 @@ def run_checks(frames: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     """(check_name, value, expected, status, error): PASS, FAIL or ERROR.
 
     All checks of a table run in one aggregate. A check that cannot be resolved
-    (unknown table or column) becomes an ERROR row and does not stop the rest.
+    (unknown table or column), or that fails while it runs (a bad cast), becomes
+    an ERROR row and does not stop the rest: where the shared aggregate fails,
+    its checks run one by one.
     """
     spark = next(iter(frames.values())).sparkSession
-    good: dict[str, list[Check]] = {}
-    errors = []
-    for check in checks:
+    rows: dict[str, tuple] = {}
+
+    def attempt(table: str, group: Sequence[Check]) -> None:
+        values = frames[table].agg(*[c.value.cast("bigint").alias(f"v{i}") for i, c in enumerate(group)]).first()
+        for c, v in zip(group, values):
+            rows[c.name] = (c.name, v, c.expected, "PASS" if v == c.expected else "FAIL", None)
+
+    for table in dict.fromkeys(c.table for c in checks):
+        group = [c for c in checks if c.table == table]
         try:
-            frames[check.table].agg(check.value.cast("bigint").alias("v")).schema
-            good.setdefault(check.table, []).append(check)
-        except (AnalysisException, KeyError) as exc:
-            reason = "unknown table" if isinstance(exc, KeyError) else exc.getCondition()
-            errors.append((check.name, None, check.expected, "ERROR", reason))
-    out = None
-    for table, group in good.items():
-        one = frames[table].agg(*[c.value.cast("bigint").alias(f"v{i}") for i, c in enumerate(group)])
-        rows = F.explode(F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.col(f"v{i}").alias("value"),
-                     F.lit(c.expected).cast("bigint").alias("expected"))
-            for i, c in enumerate(group)])).alias("r")
-        status = F.when(F.col("value") == F.col("expected"), "PASS").otherwise("FAIL")
-        part = one.select(rows).select("r.*").withColumns(
-            {"status": status, "error": F.lit(None).cast("string")})
-        out = part if out is None else out.unionByName(part)
-    if errors:
-        schema = "check_name string, value bigint, expected bigint, status string, error string"
-        failed = spark.createDataFrame(errors, schema)
-        out = failed if out is None else out.unionByName(failed)
-    return out
+            attempt(table, group)
+        except Exception:
+            for c in group:
+                try:
+                    attempt(table, [c])
+                except Exception as exc:
+                    known = exc.getCondition() if isinstance(exc, PySparkException) else None
+                    reason = "unknown table" if isinstance(exc, KeyError) else known or type(exc).__name__
+                    rows[c.name] = (c.name, None, c.expected, "ERROR", reason)
+    schema = "check_name string, value bigint, expected bigint, status string, error string"
+    return spark.createDataFrame([rows[c.name] for c in checks], schema)
 
 
 def check_totals(results: DataFrame) -> DataFrame:

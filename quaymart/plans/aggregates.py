@@ -54,7 +54,8 @@ def q_category_rollup(spark, folder):
 
 @query("status_pivot", "SELECT user_id, " + ", ".join(
     f"count(CASE WHEN event_type = '{v}' THEN 1 END) AS \"{v}\"" for v in EVENT_TYPES)
-    + " FROM events GROUP BY user_id")
+    + ", count(CASE WHEN event_type IN (" + ", ".join(f"'{v}'" for v in EVENT_TYPES)
+    + ") THEN NULL ELSE 1 END) AS other FROM events GROUP BY user_id")
 def q_status_pivot(spark, folder):
     return A.status_pivot(market(spark, folder).t.events, "user_id", "event_type", EVENT_TYPES)
 

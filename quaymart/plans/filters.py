@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from quaymart.functions import ratio
 from quaymart.operators import marts as M
 from quaymart.operators.filters import facets, top_k
+from quaymart.plans.loading import partitioned_metrics
 from quaymart.plans.marts import ltv, market, performance
 from quaymart.plans.registry import query
 from quaymart.plans.rentals import rentals
 from quaymart.plans.twins import twin
+from quaymart.session import stored
 
 RATE_FLOOR = 990.0
 FACET = {"rating": ["Brand#1", "Brand#5", "Brand#9", "Brand#13", "Brand#17"], "rate": 920.0,
@@ -58,8 +60,8 @@ SELECT order_id, delivery_days, review_score FROM v_order_metrics
 WHERE purchased_at >= DATE '{LATE_MONTH[0]}' AND purchased_at < DATE '{LATE_MONTH[1]}'
   AND is_late"""))
 def q_late_in_month(spark, folder):
-    m = market(spark, folder)
-    late = M.order_metrics(m.order_facts(*LATE_MONTH), m.customers).where(F.col("is_late"))
+    month = F.lit(LATE_MONTH[0]).cast("date")
+    late = partitioned_metrics(spark, folder).where((F.col("purchase_month") == month) & F.col("is_late"))
     return late.select("order_id", "delivery_days", "review_score").orderBy(
         F.col("delivery_days").desc_nulls_first(), "order_id")
 
@@ -69,8 +71,9 @@ SELECT customer_unique_id, total_spent, avg_review_score FROM v_ltv
 WHERE value_segment = '{TOP_SEGMENT}'
 ORDER BY total_spent DESC NULLS FIRST, customer_unique_id LIMIT 50"""))
 def q_segment_top_spend(spark, folder):
-    m = market(spark, folder)
-    gold = ltv(m).where(F.col("value_segment") == TOP_SEGMENT)
+    table = stored(spark, f"ltv {folder}", lambda: ltv(market(spark, folder)).select(
+        "customer_unique_id", "total_spent", "avg_review_score", "value_segment"), ["value_segment"], ["total_spent"])
+    gold = table.where(F.col("value_segment") == TOP_SEGMENT)
     return top_k(gold.select("customer_unique_id", "total_spent", "avg_review_score"), 50,
                  F.col("total_spent").desc_nulls_first(), "customer_unique_id")
 
@@ -79,8 +82,9 @@ def q_segment_top_spend(spark, folder):
 SELECT seller_id, seller_state, total_revenue FROM v_performance
 WHERE seller_state = '{TOP_STATE}' ORDER BY total_revenue DESC NULLS FIRST, seller_id LIMIT 10"""))
 def q_state_top_sellers(spark, folder):
-    m = market(spark, folder)
-    here = M.seller_revenue(m.sellers.where(F.col("seller_state") == TOP_STATE), m.order_items)
+    table = stored(spark, f"sellers {folder}", lambda: performance(market(spark, folder)).select(
+        "seller_id", "seller_state", "total_revenue"), sort_by=["seller_state", "total_revenue"])
+    here = table.where(F.col("seller_state") == TOP_STATE)
     return top_k(here.select("seller_id", "seller_state", "total_revenue"), 10,
                  F.col("total_revenue").desc_nulls_first(), "seller_id")
 

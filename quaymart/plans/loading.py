@@ -17,7 +17,7 @@ from quaymart.plans.marts import LTV_CUTS, MONTHS_FROM, last_purchase, market, p
 from quaymart.plans.registry import query
 from quaymart.plans.rentals import SPEND_EDGES, rentals
 from quaymart.plans.twins import r_up, twin
-from quaymart.session import scratch_path
+from quaymart.session import scratch_path, stored
 from quaymart.sources.files import (
     load_csv_tables, write_csv, write_month_partitions, write_table,
 )
@@ -95,11 +95,15 @@ def q_sink_roundtrip(spark, folder):
 
 
 def partitioned_metrics(spark, folder):
-    m = market(spark, folder)
-    metrics = M.order_metrics(m.order_facts(), m.customers).select(
-        "order_id", "purchased_at", "order_status", "delivery_days", "is_late", "total_payment",
-        "review_score")
-    return write_month_partitions(metrics, scratch_path(spark, "metrics"), "purchased_at")
+    """The order mart as a table by month, built once per session."""
+    def build():
+        m = market(spark, folder)
+        return M.order_metrics(m.order_facts(), m.customers).select(
+            "order_id", "purchased_at", "order_status", "delivery_days", "is_late", "total_payment",
+            "review_score")
+
+    return stored(spark, f"order_metrics {folder}", build,
+                  write=lambda df, path: write_month_partitions(df, path, "purchased_at"))
 
 
 @query("partitioned_month_filter", twin("v_order_metrics", f"""

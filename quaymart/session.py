@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,7 @@ SETTINGS = {
 }
 
 _SCRATCH: list[str] = []
+_STORED: dict[tuple[str, str], DataFrame] = {}
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
@@ -89,8 +91,32 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame],
+           partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+           write: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """A table built at its first use in this session and only read from then on.
+
+    For lookups: the table holds what its sources held at that time. Rows are
+    dealt to files and sorted in them so that a filter skips folders or row groups,
+    unless ``write`` does it another way.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _STORED:
+        df, path = build(), scratch_path(spark, "stored")
+        if write is not None:
+            _STORED[key] = write(df, path)
+            return _STORED[key]
+        near = [*partition_by, *sort_by]
+        if near:
+            df = df.repartitionByRange(*near).sortWithinPartitions(*near)
+        df.write.partitionBy(*partition_by).parquet(path)
+        _STORED[key] = spark.read.parquet(path)
+    return _STORED[key]
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the scratch tables this process made; frames built on them are void."""
+    _STORED.clear()
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     done = 0

@@ -105,3 +105,12 @@ def test_churn_feature_rules(spark):
     assert [got[i]["is_recent"] for i in (1, 2, 3)] == [1, 0, 0]
     assert [got[i]["segment_encoded"] for i in (1, 2, 3)] == [2, 0, 0]
     assert got[1]["rental_frequency"] == 1.0 and got[2]["target"] == 0
+
+
+def test_failing_check_does_not_stop_the_others(spark):
+    df = spark.createDataFrame([("1",), ("x",)], "v string")
+    got = {r.check_name: r for r in Q.run_checks({"t": df}, [
+        Q.Check("rows", "t", F.count(F.lit(1)), 2), Q.Check("cast", "t", F.sum(F.col("v").cast("int")), 1),
+        Q.Check("column", "t", F.max("nope"), 1), Q.Check("table", "u", F.count(F.lit(1)), 1)]).collect()}
+    assert {n: r.status for n, r in got.items()} == {"rows": "PASS", "cast": "ERROR", "column": "ERROR", "table": "ERROR"}
+    assert got["cast"].error == "CAST_INVALID_INPUT"
