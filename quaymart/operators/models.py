@@ -41,10 +41,11 @@ def _filled(col: str, value) -> Column:
 
 
 def churn_features(summary: DataFrame) -> DataFrame:
-    """Ten features per customer with the key kept; target ``is_active``.
+    """Ten features per customer with the key kept; target ``is_active``. Customers without any spend are left out.
 
     ``summary`` is read again for the median: stage it first.
     """
+    summary = summary.where(F.col("total_spend").isNotNull())
     spend = _filled("total_spend", 0.0)
     median = exact_median(summary.select(spend.alias("v")), "v")
     base = summary.select(

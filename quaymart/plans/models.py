@@ -70,7 +70,8 @@ FROM (SELECT customer_id, CAST(coalesce(total_rentals, 0) AS DOUBLE) AS total_re
     coalesce(total_spend, 0) AS total_spend,
     CAST(coalesce(days_since_last_payment, 999) AS DOUBLE) AS days_since_last_payment,
     CAST(CASE segment WHEN 'Silver' THEN 1 WHEN 'Gold' THEN 2 WHEN 'Platinum' THEN 3 ELSE 0 END
-      AS BIGINT) AS segment_encoded, CAST(is_active AS BIGINT) AS target FROM v_summary)""")
+      AS BIGINT) AS segment_encoded, CAST(is_active AS BIGINT) AS target FROM v_summary
+  WHERE total_spend IS NOT NULL)""")
 
 
 @query("churn_features", twin("v_churn", f"""SELECT * REPLACE (

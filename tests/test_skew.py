@@ -169,3 +169,35 @@ def test_class_weights_and_split(spark):
         assert 0.65 < r["train_rows"] / total < 0.95
     a = {r[0] for r in df.where(balance.in_train("id")).collect()}
     assert a == {r[0] for r in df.repartition(7).where(balance.in_train("id")).collect()}
+
+
+def test_null_keys_and_values_keep_their_rows(spark):
+    from quaymart.operators import quantiles, running, windows
+
+    pay = spark.createDataFrame([(1, 10, 100, 5.0), (None, 11, 100, 7.0), (1, 12, 101, None), (1, 13, 101, 9.0)],
+                                "customer_id bigint, rental_id bigint, film_id bigint, amount double").withColumn("payment_date", F.lit(None).cast("timestamp_ntz"))
+    got = {r.rental_id: (r.payment_rank_within_customer, r.spend_rank) for r in windows.payment_ranks(pay).collect()}
+    assert got == {10: (2, 1), 11: (1, 2), 12: (None, 1), 13: (1, 1)}
+    stats = {r.rental_id: (r.group_sum, r.group_n) for r in running.group_stats(pay, "customer_id", "amount").collect()}
+    assert stats == {10: (14.0, 2), 11: (7.0, 1), 12: (14.0, 2), 13: (14.0, 2)}
+    q = {r.customer_id: r.q0 for r in quantiles.exact_quantiles(pay, "amount", [0.5], ["customer_id"]).collect()}
+    assert q == {1: 7.0, None: 7.0}
+
+
+def test_hot_key_of_group_stats_is_split(spark):
+    """The final plan splits the half of the rows that one key holds."""
+    from quaymart.operators import running
+
+    options = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 400_000, numPartitions=8).selectExpr("if(id % 2 = 0, 7, id) AS k", "pmod(xxhash64(id), 1000) AS v")
+        out = running.group_stats(rows, "k", "v")
+        out._jdf.queryExecution().toRdd().count()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
