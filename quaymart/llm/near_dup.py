@@ -265,7 +265,7 @@ def _across(members: DataFrame, ties: DataFrame, tried: DataFrame, sets: DataFra
         left = stage(_mixed(stage(placed.join(bound, F.col("rep") == F.col("of")).select("key", "lead", "rep", "comp", "n", "most"))))
         # Those that are out may have held the only copies of an element: look again while many leave.
         before, after = placed.count(), left.count()
-        if after * 10 > before * 9:
+        if after * 10 >= before * 9:
             break
         placed = stage(left.select("key", "lead", "rep", "comp"))
 
