@@ -13,7 +13,8 @@ is left is measured exactly, in double precision, on the original vectors.
 First the nearest list is scanned, which gives each query its bound, then the
 other probed lists. Lists and queries are joined in blocks of bounded size.
 ``PROBES`` is the share of all lists a query looks at; on data without any
-structure it takes about this much for a recall of 0.9 (see the tests).
+structure it takes about this much for a recall of 0.9 (see the tests). Tables
+of few lists are searched whole.
 
 Of equal vectors only the ``k`` + 1 of the least ids are indexed, which is exact:
 no query can have more of them among its k nearest.
@@ -45,6 +46,7 @@ QUERY_BLOCK = 256
 STEP = 16
 DOUBT = 2.1
 PROBES = 0.6
+LEAST_PROBES = 16        # lists that a query looks at in any case, if there are as many
 ROUNDS = 8
 SEED = 7
 
@@ -201,7 +203,8 @@ def search(df: DataFrame, every: int = 100, k: int = K, probes: float = PROBES,
         .groupBy("list", "block").applyInArrow(_pack(turn, dim, False), "list int, ids binary, raw binary, turned binary"))
 
     asked = rows.filter(F.col("id") % every == 0).distinct()
-    wanted = stage(asked.mapInArrow(_place(centres, max(1, min(lists, round(lists * probes))), dim), "id bigint, vec array<float>, list int, nth int"))
+    wide = min(lists, max(LEAST_PROBES, round(lists * probes)))
+    wanted = stage(asked.mapInArrow(_place(centres, wide, dim), "id bigint, vec array<float>, list int, nth int"))
 
     def scanned(queries: DataFrame) -> DataFrame:
         load = stage(queries.groupBy("list").count().select(F.col("list").alias("of"), F.ceil(F.col("count") / QUERY_BLOCK).alias("blocks")))

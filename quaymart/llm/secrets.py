@@ -100,6 +100,8 @@ def scan(docs: DataFrame, ledger: str | None = None, rule_version: int = RULE_VE
         .select("blob", F.coalesce("text", F.lit("")).alias("text"))
     )
     found = texts.mapInArrow(_scan, "blob string, findings array<struct<kind:string,start:int,end:int>>")
+    # Rows that repeat an id and its text stand for the same blob.
+    found = found.groupBy("blob").agg(F.first("findings").alias("findings"))
     found.select("blob", F.lit(rule_version).alias("rule_version"), "findings").write.mode("append").parquet(ledger)
     # A staged copy of both sides: two plain shuffles, which may split a blob that a third of the rows hold.
     return paths.join(stage(ledger_rows(spark, ledger, rule_version)), "blob").select("doc_id", "blob", "findings")
