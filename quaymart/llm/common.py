@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of text a task handles at a time; a single longer text is one piece.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 # ASCII white space as the word rule `[^\x20\x09-\x0D]+` has it.
 _SPACES = np.arange(256, dtype=np.uint8)

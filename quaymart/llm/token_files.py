@@ -52,6 +52,8 @@ HEAD = "<4sIQQQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK = 4096
 FILE_BYTES = 64 << 20
+# Bytes of text looked at together: fewer passes over the table of units.
+TASK_PIECE = 8 << 20
 END_ID = 2
 KNOWN_UNITS = 800_000
 _CUT = "\0"
@@ -232,7 +234,7 @@ def write(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID, folder: st
         encoder, out = None, FileWriter(bits)
         for batch in batches:
             encoder = encoder or UnitEncoder(shared.value)
-            for part in pieces(batch):
+            for part in pieces(batch, most=TASK_PIECE):
                 ids, begins = encoder.encode(part.column("text"), end_id)
                 out.add(pc.fill_null(part.column("doc_id"), -1).to_pylist(), np.diff(begins), ids)
         if out.docs:
