@@ -27,7 +27,9 @@ def test_filter_and_columns_reach_the_scan(spark, small):
     assert "GreaterThan(p_retailprice" in text and "TakeOrderedAndProject" in text
     assert "p_type" not in text
     text = plan_of(registry.QUERIES["late_in_month"](spark, small))
-    assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
+    assert "PartitionFilters: [isnotnull(purchase_month" in text and "EqualTo(is_late,true)" in text
+    text = plan_of(registry.QUERIES["state_top_sellers"](spark, small))
+    assert "EqualTo(seller_state" in text and "TakeOrderedAndProject" in text
 
 
 def test_monthly_revenue_reads_lines_once(spark, small):
