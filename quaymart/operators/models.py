@@ -203,7 +203,7 @@ FULL_GRID = {"numTrees": (50, 100), "maxDepth": (3, 5, UNLIMITED), "minInstances
 
 def grid_search(train: DataFrame, key: str, features: Sequence[str],
                 grid: dict[str, Sequence] | None = None, folds: int = 5,
-                parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
+                parallelism: int = 8) -> tuple[PipelineModel, DataFrame]:
     """Best forest by F1 of the positive class, and the score of every setting."""
     spark = train.sparkSession
     forest = _forest(50, 5, True)
