@@ -35,7 +35,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaymart.llm.common import mix
 from quaymart.session import stage
 
 K = 10
