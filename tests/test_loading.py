@@ -1,7 +1,6 @@
 """Watermarks, upserts, snapshots, jobs, sinks and streams."""
 
 import datetime as dt
-import logging
 
 import pytest
 from pyspark.sql import functions as F
