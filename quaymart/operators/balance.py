@@ -33,14 +33,18 @@ def fold(key: str, folds: int, seed: int = SEED) -> Column:
 
 
 def fit_sample(df: DataFrame, key: str, label: str, rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
-    """At most ``rows`` rows of each class, those with the least hash of the key.
+    """A sample of all classes at one common rate, by the hash of the key.
 
-    The bound on the labelled rows that balanced models are fitted on: the
-    neighbour search of ``smote`` then meets a bounded class, however large the
-    table is. Scoring reads all rows.
+    The rate leaves about ``rows`` rows of the second largest class, so the
+    neighbour search of ``smote``, which never meets the largest class, is
+    bounded however large the table is, and the proportion of the classes, from
+    which the number of synthetic rows follows, stays. Scoring reads all rows.
     """
-    order = Window.partitionBy(label).orderBy(F.xxhash64(F.lit(seed + 4), F.col(key)), F.col(key))
-    return df.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= rows).drop("__n")
+    counts = sorted((r[1] for r in df.groupBy(label).count().collect()), reverse=True)
+    if len(counts) < 2 or counts[1] <= rows:
+        return df
+    place = F.pmod(F.xxhash64(F.lit(seed + 4), F.col(key)), F.lit(1 << 40))
+    return df.where(place < F.lit(int(rows / counts[1] * (1 << 40))))
 
 
 def split_counts(df: DataFrame, key: str, label: str, share: int = 80) -> DataFrame:

@@ -175,8 +175,8 @@ def fit_forest(train: DataFrame, features: Sequence[str], trees: int = 100, dept
 
 def fit_balanced_forest(train: DataFrame, key: str, features: Sequence[str], trees: int = 100,
                         depth: int = 10) -> PipelineModel:
-    """Synthetic minority rows, scaling, forest. Only training rows are balanced, at most
-    ``FIT_ROWS`` of each class (see ``fit_sample``)."""
+    """Synthetic minority rows, scaling, forest. Only training rows are balanced, a sample of all
+    classes at one rate (see ``fit_sample``)."""
     return fit_forest(smote(fit_sample(train, key, "target"), key, features, "target"), features, trees, depth)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quaymart.functions import rint_to
 from quaymart.operators import marts as M
 from quaymart.operators import models as L
-from quaymart.operators.balance import FIT_ROWS, SEED, fit_sample, smote, split_counts
+from quaymart.operators.balance import FIT_ROWS, SEED, smote, split_counts
 from quaymart.operators.jobs import Outcome, append_audit, build_models, read_audit
 from quaymart.plans.loading import CHAIN_ROWS, mart_models
 from quaymart.plans.marts import ltv, market
@@ -235,9 +235,9 @@ WHERE n > 1 AND n < (SELECT max(n) FROM sides)""", sides=f"""SELECT target, leas
     SELECT CAST(last_order_date < TIMESTAMP '{CHURN_CUT}' AS BIGINT) AS target FROM v_ltv
     WHERE {in_train_sql('customer_unique_id')}) GROUP BY 1"""))
 def q_smote_balance(spark, folder):
-    """Rows per class and origin after balancing the sample of the training side that models are fitted on."""
+    """Rows per class and origin after balancing the whole training side."""
     train, _ = L.split(ltv_frame(spark, folder), "customer_unique_id")
-    made = smote(fit_sample(train, "customer_unique_id", "target"), "customer_unique_id", TRAIN_LTV, "target")
+    made = smote(train, "customer_unique_id", TRAIN_LTV, "target")
     return made.groupBy("target", "synthetic").agg(F.count(F.lit(1)).alias("n"))
 
 
