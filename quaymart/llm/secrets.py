@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from quaymart.llm.common import pieces
 from quaymart.session import scratch_path, stage
 
-RULE_VERSION = 1
+RULE_VERSION = 3     # goes up with every change of the rules, so that texts are scanned again
 LEDGER = "blob string, rule_version int, findings array<struct<kind:string,start:int,end:int>>"
 BASE_KINDS = ("assign", "access", "hex")
 MASK = "[SECRET]"
@@ -39,7 +39,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _OTHERS = {
     "access": ("AKIA", re.compile(r"AKIA[A-Z0-9]{16,}")),
     "hex": ("", re.compile(r"[0-9a-f]{24,}")),
-    "pem": ("PRIVATE KEY-----", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?")),
+    "pem": ("PRIVATE KEY", re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?)-----")),
     "jwt": ("eyJ", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     "github": ("gh", re.compile(r"\bgh[pousr]_[A-Za-z0-9]{36,}")),
     "slack": ("xox", re.compile(r"\bxox[abprs]-[A-Za-z0-9-]{10,}")),
@@ -47,6 +47,17 @@ _OTHERS = {
     "login": ("://", re.compile(r"://[^\s/:@]{1,256}:[^\s/@]{1,256}@")),
 }
 KINDS = ("assign", *_OTHERS)
+_PEM_END = re.compile(r"-----END ([A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?)-----")
+# What may follow a BEGIN line that has no END line: base64, line ends (also escaped), header lines.
+_PEM_OPEN = re.compile(r"(?:(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*+|\\++[nrt/]|[A-Za-z0-9+/=\s])*+")
+
+
+def _pem(text: str) -> Iterator[tuple[int, int]]:
+    """Private keys: to the END line of the same label if it comes before the next BEGIN line, else as far as they go on."""
+    begins = list(_OTHERS["pem"][1].finditer(text))
+    for m, after in zip(begins, [*(b.start() for b in begins[1:]), len(text)]):
+        end = next((e.end() for e in _PEM_END.finditer(text, m.end(), after) if e[1] == m[1]), None)
+        yield m.start(), end or _PEM_OPEN.match(text, m.end(), after).end()
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -56,7 +67,9 @@ def find(text: str) -> list[tuple[str, int, int]]:
     if any(k in low for k in _KEYS):
         out += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     for n, (sign, pattern) in enumerate(_OTHERS.values(), 1):
-        if sign in text:
+        if sign in text and KINDS[n] == "pem":
+            out += [(start, n, end) for start, end in _pem(text)]
+        elif sign in text:
             out += [(m.start(), n, m.end()) for m in pattern.finditer(text)]
     return [(KINDS[n], start, end) for start, n, end in sorted(out)]
 
