@@ -15,7 +15,7 @@ from quaymart.session import apply_settings, stage
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; the others go."""
+    """Documents in a learned language, which becomes their ``lang``; the others go."""
     apply_settings(spark)
     return lang_id.recognised(docs, lang_id.train(docs))
 

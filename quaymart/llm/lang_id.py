@@ -11,6 +11,11 @@ with the least hash of text and label, whatever the size of the table; their
 vectors (``DIM`` counts each) go to the driver. Prediction reads whole texts in
 Arrow batches and knows nothing of a row but its text.
 
+``recognised`` also drops text that is familiar from no language: other scripts,
+noise, and most languages that were not learned (close relatives of a learned
+one pass). The odds cannot tell these, since some learned language always wins.
+The fewer texts a language has, the less an unseen n-gram counts against it.
+
 Cases: NULL text, or text without a letter: ``und`` with score 0. Ties in votes
 go to the larger sum of margins, then to the language that sorts first. One
 known language: it is always predicted; none: always ``und``. Repeated rows
@@ -34,6 +39,8 @@ from quaymart.llm.common import mapped, pieces
 PER_LANGUAGE = 400
 DIM = 1 << 12
 UNKNOWN = "und"
+FOREIGN = -9.5   # least familiar score of a text in a known language; all texts of sf0.001 to sf0.1 score above -7.5
+UNSEEN = 4e-4    # share of an n-gram that no text of a language has, divided by the number of its texts
 PASSES = 150
 PENALTY = 1e-4
 
@@ -119,6 +126,13 @@ class Model:
     tasks: list[tuple[str, int | str, str]]
     weights: np.ndarray
     bias: np.ndarray
+    likely: np.ndarray | None = None
+
+    def familiar(self, text: pa.Array) -> np.ndarray:
+        """Mean log share of a text's n-grams in the language that has most of them (``likely``: DIM x languages)."""
+        if self.likely is None:
+            return np.full(len(text), -np.inf)
+        return margins(text, self.likely, np.zeros(self.likely.shape[1])).max(axis=1)
 
     def predict(self, text: pa.Array) -> tuple[list[str], list[float]]:
         """Language and score of each text; the score is the family's odds times the mean odds of the winner's duels."""
@@ -164,6 +178,7 @@ def fit(x: np.ndarray, langs: list[str]) -> Model:
     labels = np.array(langs, dtype=object)
     means = {n: x[labels == n].mean(axis=0) for n in sorted(set(langs))}
     families = families_of(means)
+    likely = np.stack([np.log(means[n] + UNSEEN / (labels == n).sum()) for n in means], axis=1)
     scale = np.sqrt(np.float32(DIM))
     x = x * scale * 4
     tasks: list[tuple[str, int | str, str]] = []
@@ -184,7 +199,7 @@ def fit(x: np.ndarray, langs: list[str]) -> Model:
                 mine = (labels == a) | (labels == b)
                 add(("pair", a, b), x[mine], np.where(labels[mine] == a, 1, -1))
     weights = np.stack(columns, axis=1) if columns else np.zeros((DIM, 0))
-    return Model(families, tasks, weights, np.array(bias))
+    return Model(families, tasks, weights, np.array(bias), likely)
 
 
 def _profile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,5 +259,16 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def recognised(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told."""
-    return predict(docs, model).filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    """The rows of ``docs`` in a language that the model knows, with the verdict as their ``lang``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch):
+                text = pc.fill_null(part.column("text"), "")
+                langs = shared.value.predict(text)[0]
+                known = [lang != UNKNOWN and much >= FOREIGN for lang, much in zip(langs, shared.value.familiar(text).tolist())]
+                cols = [pa.array(langs, pa.string()) if n == "lang" else part.column(n) for n in part.schema.names]
+                yield pa.RecordBatch.from_arrays(cols, part.schema.names).filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
