@@ -43,7 +43,7 @@ SPREAD = 32              # parts into which the first fold spreads a host
 FEW = 3                  # different pages it takes to call a text fixed
 MAX_PERIOD = 4           # longest repeated group, in neighbouring elements
 MAX_DEPTH = 60           # deeper elements count as part of the one at this depth
-TAG_LIMIT = 1 << 16
+WINDOW = 1 << 12         # longer tags are read from quote to quote
 
 # Elements of HTML by the way they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,15 +66,61 @@ NOT_MAIN_WORDS = frozenset("""ad ads adv advert adverts advertisement advertisin
     skip hidden form""".split())
 MAIN_WORDS = frozenset("article articlebody post entry story maincontent main content".split())
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTR = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-zA-Z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_OPENS = re.compile(r"<(/?)[a-zA-Z]")
+_NAME_END = re.compile(r"[\s/>]")
+_MARK = re.compile(r"""[>"']""")
+
+
+class _Tags:
+    """The tags of a page, of any length.
+
+    A long tag is followed from quote to quote. Quotes from which no tag ends
+    are remembered and the first search of each kind is kept until it is
+    passed, so reading a page takes time in proportion to it.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.endless: set[int] = set()
+        self.found: dict[re.Pattern, tuple[int, int]] = {}
+
+    def _next(self, pattern: re.Pattern, at: int) -> int:
+        low, high = self.found.get(pattern, (0, -1))
+        if not low <= at <= high:
+            m = pattern.search(self.page, at)
+            high = m.start() if m else len(self.page)
+            self.found[pattern] = at, high
+        return high
+
+    def at(self, lt: int) -> tuple[bool, str, str, int] | None:
+        """Whether it is an end tag, name, rest, and end of the tag that begins at ``lt``."""
+        m = _TAG.match(self.page, lt, lt + WINDOW)
+        if m:
+            return bool(m[1]), m[2].lower(), m[3], m.end()
+        m = _OPENS.match(self.page, lt)
+        if m is None or self.last < lt:
+            return None
+        page, name_end = self.page, self._next(_NAME_END, m.end())
+        mark, passed = self._next(_MARK, name_end), []
+        while mark < len(page) and page[mark] != ">":
+            close = -1 if mark in self.endless else page.find(page[mark], mark + 1)
+            passed.append(mark)
+            after = _MARK.search(page, close + 1) if close >= 0 else None
+            mark = after.start() if after else len(page)
+        if mark == len(page):
+            self.endless.update(passed)
+            return None
+        return bool(m[1]), page[m.end() - 1:name_end].lower(), page[name_end:mark], mark + 1
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, name, rest): kind is "start", "end" or "text"; comments, scripts and styles are left out."""
     at, n, text_from = 0, len(page), 0
+    tags = _Tags(page)
     while True:
         lt = page.find("<", at)
         if lt < 0:
@@ -91,9 +137,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
                 yield "text", "", page[text_from:lt]
             at = text_from = end
             continue
-        m = _TAG.match(page, lt, lt + TAG_LIMIT) if follows == "/" or follows.isalpha() else None
-        if m is None:
-            if (follows == "/" or follows.isalpha()) and page.find(">", lt) < 0:
+        tag = tags.at(lt) if follows == "/" or follows.isalpha() else None
+        if tag is None:
+            if (follows == "/" or follows.isalpha()) and tags.last < lt:
                 # A tag that never ends: the page was cut off here.
                 if lt > text_from:
                     yield "text", "", page[text_from:lt]
@@ -102,10 +148,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             continue
         if lt > text_from:
             yield "text", "", page[text_from:lt]
-        name = m[2].lower()
-        yield ("end" if m[1] else "start"), name, m[3]
-        at = text_from = m.end()
-        if not m[1] and name in RAW:
+        ends, name, rest, at = tag
+        yield ("end" if ends else "start"), name, rest
+        text_from = at
+        if not ends and name in RAW:
             close = re.compile(f"</{re.escape(name)}", re.IGNORECASE).search(page, at)
             end = close.start() if close else n
             if name not in ("script", "style") and end > at:
