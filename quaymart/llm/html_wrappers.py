@@ -64,6 +64,10 @@ NOT_MAIN_WORDS = frozenset("""ad ads adv advert adverts advertisement advertisin
     consent gdpr popup modal overlay newsletter subscribe subscription signup login register share sharing social related
     recommended recommendations trending comment comments reply replies disqus respond discussion search widget toolbar pagination pager
     skip hidden form""".split())
+# Layout elements, and those of the words above that a layout around the main text may carry, too.
+WRAPPERS = frozenset("div section td table tbody tr center".split())
+SIDE_WORDS = frozenset("sidebar aside side rail search widget share form discussion".split())
+MOSTLY = 4               # a layout element is opened by its text alone if it has so many times the text kept without it
 MAIN_WORDS = frozenset("article articlebody post entry story maincontent main content".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
@@ -342,19 +346,68 @@ def marks_article(key: str) -> int:
     return int(name in ("div", "section", "td") and any(w in MAIN_WORDS for w in words))
 
 
+def only_by_words(key: str) -> bool:
+    """Whether a layout element is not main by a word of its class or id alone."""
+    name, *words = _parts(key)
+    return name in WRAPPERS and "hidden" not in words and not any(w.startswith("role-") and w[5:] in NOT_MAIN_ROLES for w in words)
+
+
+def _opened(texts: list[tuple[tuple[str, ...], dict, tuple]], pages: int) -> set[int]:
+    """The element whose word is not heeded, since it is the layout around the main text, and those between.
+
+    It holds an article (or the like) clearer than any outside such elements, of
+    more text than is kept without it; or, if no article is left, by far most of
+    the text, and its words are those of a layout with a side column.
+    """
+    level = max((marks_article(k) for path, _, barred in texts if not barred for k in path), default=0)
+    kept = sum(t["m"] for path, t, barred in texts if not barred and (not level or any(marks_article(k) == level for k in path)) and _varies(path, t, pages))
+    marked: dict[int, int] = {}
+    filled: dict[int, int] = {}
+    between: dict[int, set[int]] = {}
+    for path, text, barred in texts:
+        if not barred:
+            continue
+        outer = barred[0][1]
+        top = max(marks_article(k) for k in path)
+        if top >= 2 and top > level:
+            first = next(i for i, k in enumerate(path) if marks_article(k) == top)
+            if all(i <= first for i, _ in barred):
+                marked[outer] = marked.get(outer, 0) + text["m"]
+                between.setdefault(outer, set()).update(i for _, i in barred)
+        words = set(_parts(path[barred[0][0]])[1:]) & NOT_MAIN_WORDS
+        if len(barred) == 1 and words <= SIDE_WORDS and _varies(path, text, pages):
+            filled[outer] = filled.get(outer, 0) + text["m"]
+    best = max(marked, key=marked.__getitem__, default=None)
+    if best is not None and marked[best] > kept:
+        return between[best]
+    best = max(filled, key=filled.__getitem__, default=None)
+    return {best} if level < 3 and best is not None and filled[best] > MOSTLY * kept else set()
+
+
+def _varies(path: tuple[str, ...], text: dict, pages: int) -> bool:
+    """No link, and not the same on all pages."""
+    return not (text["t"] is not None and text["n"] >= FEW and text["n"] == pages) and "a" not in [_parts(k)[0] for k in path]
+
+
 def main_paths(wrapper: dict) -> list[list[str]]:
     """The paths of labels under which texts are main."""
-    texts: list[tuple[tuple[str, ...], dict]] = []
+    # With each text, the depths and ids of elements above it that are not main by their words alone.
+    found: list[tuple[tuple[str, ...], dict, tuple]] = []
 
-    def walk(node: dict, path: tuple[str, ...]) -> None:
+    def walk(node: dict, path: tuple[str, ...], barred: tuple) -> None:
         for child in node["c"]:
             if child["k"] == "#":
-                texts.append((path, child))
+                found.append((path, child, barred))
             # The header of an article holds its title; any other header is the page's.
             elif not not_main(child["k"]) or (child["k"] == "header" and any(_parts(k)[0] == "article" for k in path)):
-                walk(child, path + (child["k"],))
-
-    walk(wrapper, ())
+                walk(child, path + (child["k"],), barred)
+            elif only_by_words(child["k"]):
+                walk(child, path + (child["k"],), (*barred, (len(path), id(child))))
+
+    walk(wrapper, (), ())
+    while opened := _opened(found, wrapper["n"]):
+        found = [(p, t, tuple(x for x in barred if x[1] not in opened)) for p, t, barred in found]
+    texts = [(p, t) for p, t, barred in found if not barred]
     pages = wrapper["n"]
     best = max((marks_article(k) for path, _ in texts for k in path), default=0)
     if best:
