@@ -21,7 +21,3 @@ def spark():
 @pytest.fixture(scope="session")
 def small():
     return SMALL
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 """Physical plans: pruned and filtered scans, no all-pairs joins, no row funnels."""
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 
 from quaymart.plans import registry
 

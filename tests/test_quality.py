@@ -96,10 +96,12 @@ def test_metrics_by_hand(spark):
 
 def test_churn_feature_rules(spark):
     df = spark.createDataFrame([
-        (1, 4, 10.0, 3, "Gold", True), (2, None, None, None, None, False), (3, 2, 30.0, 30, "x", True)],
+        (1, 4, 10.0, 3, "Gold", True), (2, None, 0.0, None, None, False), (3, 2, 30.0, 30, "x", True),
+        (4, 5, None, 1, "Gold", True)],
         "customer_id bigint, total_rentals bigint, total_spend double, "
         "days_since_last_payment bigint, segment string, is_active boolean")
     got = {r["customer_id"]: r for r in L.churn_features(df).collect()}
+    assert sorted(got) == [1, 2, 3]    # a customer without any spend is left out
     assert got[2]["days_since_last_payment"] == 999 and got[2]["avg_spend_per_rental"] == 0.0
     assert [got[i]["is_high_value"] for i in (1, 2, 3)] == [0, 0, 1]
     assert [got[i]["is_recent"] for i in (1, 2, 3)] == [1, 0, 0]

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import plan_of
+from compare import plan_of
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
