@@ -22,6 +22,12 @@ _SPACES = np.arange(256, dtype=np.uint8)
 _SPACES[9:14] = 32
 _LOWER = _SPACES.copy()
 _LOWER[65:91] += 32
+# The word rule `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after lower-casing A-Z: letters, digits, all beyond ASCII.
+LETTERS = np.full(256, 32, np.uint8)
+LETTERS[48:58] = np.arange(48, 58)
+LETTERS[65:91] = np.arange(97, 123)
+LETTERS[97:123] = np.arange(97, 123)
+LETTERS[128:] = np.arange(128, 256)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,9 +68,12 @@ def mapped(text: pa.Array, table: np.ndarray) -> tuple[pa.Array, np.ndarray, np.
     return out, raw, offsets
 
 
-def words_of(text: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
-    """All words of the texts in order, and for each text the index of its first word (one more at the end)."""
-    spaced, _, _ = mapped(text, _LOWER if lower else _SPACES)
+def words_of(text: pa.Array, lower: bool = False, table: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in order, and for each text the index of its first word (one more at the end).
+
+    ``table`` maps bytes to those of words, others to blanks; by default only white space parts words.
+    """
+    spaced, _, _ = mapped(text, table if table is not None else _LOWER if lower else _SPACES)
     parts = pc.split_pattern(spaced, " ")
     flat = parts.flatten()
     bounds = np.asarray(parts.offsets, dtype=np.int64)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import ann, html_wrappers, lang_id, mixing, near_dup, pieces_fst, quality, secrets, suffix_dedup, token_files
+from quaymart.llm import ann, html_wrappers, lang_id, mixing, near_dup, pieces_fst, quality, resampling, secrets, suffix_dedup, token_files, twins
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -93,3 +93,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lang_id.held_out()
     found = lang_id.predict(docs.select("doc_id", "text"), lang_id.train(docs, ~out))
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+SQL_TWINS["op13_importance_resample"] = twins.RESAMPLE_SQL
