@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaymart.llm import ann, html_wrappers, lang_id, mixing, near_dup, pieces_fst, quality, resampling, secrets, suffix_dedup, token_files, twins
+from quaymart.llm import ann, hard_negatives, html_wrappers, lang_id, licenses, mixing, near_dup, pieces_fst, quality, resampling, secrets, suffix_dedup, token_files, twins
 from quaymart.llm.common import read
 from quaymart.session import apply_settings
 
@@ -95,6 +95,21 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), moved)
+
+
+SQL_TWINS["op12_hard_negatives"] = twins.NEGATIVES_SQL
+
+
 @query
 def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

