@@ -71,12 +71,12 @@ def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataF
 
 
 def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5,
-          seed: int = SEED, cell_rows: int | None = None, ratio: float = 1.0) -> DataFrame:
+          seed: int = SEED, ratio: float = 1.0) -> DataFrame:
     """Adds synthetic rows until every class has ``ratio`` times the rows of the largest.
 
     A synthetic row lies on the line from a minority row to one of its
-    ``min(k, rows - 1)`` nearest rows of the same class. Equal rows are
-    neighbours at distance zero. Which neighbour, and how far along, follows
+    ``min(k, rows - 1)`` nearest rows of the same class (see ``neighbours``: exact in
+    small classes, by buckets in large ones). Equal rows are neighbours at distance zero. Which neighbour, and how far along, follows
     from hashes of the row's key and the number of the synthetic row, so the
     result does not depend on the partitioning (only which of several vectors
     at the very same k-th distance is taken may vary). Output: features, label,
@@ -91,7 +91,7 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
         if need > 0 and n > 1:
             rows = df.where(F.col(label) == value).select(
                 key, F.array(*features).alias("x"))
-            made = _synthesize(rows, key, min(k, n - 1), need, n, seed, cell_rows)
+            made = _synthesize(rows, key, min(k, n - 1), need, n, seed)
             out = out.unionByName(made.select(
                 F.lit(None).cast(df.schema[key].dataType).alias(key),
                 F.lit(value).cast(df.schema[label].dataType).alias(label),
@@ -100,14 +100,13 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, k: int =
     return out
 
 
-def _synthesize(rows: DataFrame, key: str, k: int, need: int, n: int, seed: int,
-                cell_rows: int | None) -> DataFrame:
+def _synthesize(rows: DataFrame, key: str, k: int, need: int, n: int, seed: int) -> DataFrame:
     spark = rows.sparkSession
     # Equal vectors become one point with a multiplicity: a vector that fills
     # a third of the class is searched once.
     vectors = rows.groupBy("x").agg(F.count(F.lit(1)).alias("copies"))
     vectors = stage(vectors.withColumn("id", F.monotonically_increasing_id()))
-    found = nearest(vectors.select("id", "x"), k, cell_rows)
+    found = nearest(vectors.select("id", "x"), k)
     found = found.join(vectors.select(F.col("id").alias("other"),
                                       F.col("copies").alias("weight")), "other")
     # At most k distinct neighbours per vector: a bounded list.

@@ -1,165 +1,146 @@
-"""Exact k nearest neighbours (euclidean) without comparing all pairs.
-
-Points are cut into cells of about sqrt(n) rows by quantile cuts, one dimension
-after the other. Each point first searches its own cell, which bounds the
-distance of its k-th neighbour; it then visits only the cells whose bounding
-box comes closer than that. Cells too crowded to cut (equal coordinates) are
-split by a hash; their boxes coincide and are visited like any others. No
-candidate is dropped, so the result equals brute force.
+"""Near rows (euclidean) without comparing all pairs: buckets of random projections, exact distances inside them.
+
+``BucketedRandomProjectionLSH`` projects every point on random directions.
+Each of ``TABLES`` tables cuts the points along its own directions, one after
+the other, at quantiles of the projections, so that buckets hold about
+``BUCKET_ROWS`` points wherever the points are dense or thin. Near points share
+a bucket in at least one table with high probability. Inside a bucket all
+distances are computed; per point the k least of all tables stay. Then each
+point looks once at the neighbours of its neighbours, which finds most of those
+that every table has cut off.
+
+A point meets about ``TABLES * BUCKET_ROWS + k * k`` others however many there are.
+Distances are exact, and no point is left out; which points are met is
+approximate beyond ``2 * BUCKET_ROWS`` points, and exact up to it. Buckets that
+cannot be cut (equal projections) are dealt by a hash. A point that finds less
+than k looks again in ever larger cells of the first table.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quaymart.session import stage
 
-WAYS = 16
-_FOUND = "id bigint, x array<double>, other bigint, y array<double>, d2 double"
+BUCKET_ROWS = 128
+TABLES = 8
+MOST_WAYS = 16
+SEED = 42
+_PAIR = "id bigint, other bigint, d2 double"
+
+
+def _closest(ids: np.ndarray, x: np.ndarray, ask: np.ndarray, k: int) -> pd.DataFrame:
+    """Up to k nearest rows of a bucket for those of its rows that ask, in blocks of bounded size."""
+    out = {"id": [], "other": [], "d2": []}
+    asking = np.flatnonzero(ask)
+    step = max(1, 2_000_000 // max(1, len(x)))
+    take = min(k, len(x) - 1)
+    for s in range(0, len(asking) if take else 0, step):
+        at = asking[s:s + step]
+        d2 = np.zeros((len(at), len(x)))
+        for j in range(x.shape[1]):
+            d2 += np.square(x[at, j][:, None] - x[None, :, j])
+        d2[np.arange(len(at)), at] = np.inf
+        near = np.argpartition(d2, take - 1, axis=1)[:, :take]
+        out["id"].append(np.repeat(ids[at], take))
+        out["other"].append(ids[near.ravel()])
+        out["d2"].append(np.take_along_axis(d2, near, axis=1).ravel())
+    kinds = {"id": "int64", "other": "int64", "d2": "float64"}
+    return pd.DataFrame({c: np.concatenate(v) if v else np.zeros(0, kinds[c]) for c, v in out.items()})
 
 
-def _matrix(col: pd.Series) -> np.ndarray:
-    return np.array(col.tolist(), dtype=float)
+def projections(points: DataFrame, directions: int, seed: int = SEED) -> DataFrame:
+    """Adds ``p``: the place of each point along random directions, in steps far below the spread of the points."""
+    vectors = points.withColumn("__v", array_to_vector("x"))
+    dims = F.size(points["x"])
+    spread = points.select(F.posexplode("x").alias("axis", "c")).groupBy("axis").agg(F.var_pop("c").alias("v")).agg(F.sum("v")).first()[0]
+    lsh = BucketedRandomProjectionLSH(inputCol="__v", outputCol="__h", numHashTables=directions, seed=seed,
+                                      bucketLength=max(math.sqrt(spread or 0.0), 1e-300) / (1 << 20))
+    placed = lsh.fit(vectors.where(dims > 0)).transform(vectors)
+    return placed.select("id", "x", F.transform("__h", lambda h: vector_to_array(h)[0]).alias("p"))
 
 
-def _lists(m: np.ndarray) -> pd.Series:
-    return pd.Series(list(m), dtype=object)
+def cells(points: DataFrame, n: int, bucket_rows: int = BUCKET_ROWS, tables: int = TABLES, seed: int = SEED) -> tuple[DataFrame, int, int]:
+    """``id, x, table, cell`` once per table, the number of levels, and the ways a cell is cut at each."""
+    levels = max(1, math.ceil(math.log(max(1.0, n / bucket_rows), MOST_WAYS)))
+    ways = max(2, math.ceil((n / bucket_rows) ** (1 / levels)))
+    steps = [i / ways for i in range(1, ways)]
+    out = projections(points, tables * levels, seed).select(
+        "id", "x", "p", F.explode(F.sequence(F.lit(0), F.lit(tables - 1))).alias("table"), F.lit(0).cast("bigint").alias("cell"))
+    for level in range(levels):
+        at = F.col("p")[F.col("table") * levels + level]
+        cuts = stage(out.groupBy("table", "cell").agg(F.percentile_approx(at, steps, 1000).alias("cuts")))
+        slot = F.size(F.filter("cuts", lambda c: c < at)).cast("bigint")
+        out = out.join(cuts, ["table", "cell"]).withColumn("cell", F.col("cell") * ways + slot).drop("cuts")
+    return stage(out.select("id", "x", "table", "cell")), levels, ways
 
 
-def _nothing() -> pd.DataFrame:
-    """No pairs, with column types Arrow can convert."""
-    none = pd.Series([], dtype=object)
-    return pd.DataFrame({"id": pd.Series([], dtype="int64"), "x": none,
-                         "other": pd.Series([], dtype="int64"), "y": none,
-                         "d2": pd.Series([], dtype="float64")})
+def buckets(placed: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Adds ``share``: cells of more than twice the rows wanted are dealt by a hash of the id."""
+    crowd = placed.groupBy("table", "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * bucket_rows)).alias("shares"))
+    return placed.join(stage(crowd), ["table", "cell"]).withColumn("share", F.pmod(F.xxhash64("id"), F.col("shares"))).drop("shares")
 
 
-def _closest(ids, a, other_ids, b, k: int, skip_self: bool) -> pd.DataFrame:
-    """Up to k nearest rows of b for each row of a, in blocks of bounded size."""
-    out = []
-    step = max(1, 2_000_000 // max(1, len(b)))
-    for s in range(0, len(a), step):
-        part = a[s:s + step]
-        d2 = np.zeros((len(part), len(b)))
-        for j in range(a.shape[1]):
-            d2 += np.square(part[:, j:j + 1] - b[None, :, j])
-        if skip_self:
-            d2[ids[s:s + step, None] == other_ids[None, :]] = np.inf
-        take = min(k, len(b))
-        near = np.argpartition(d2, take - 1, axis=1)[:, :take]
-        rows = np.repeat(np.arange(len(part)), take)
-        flat = near.ravel()
-        dist = d2[rows, flat]
-        keep = np.isfinite(dist)
-        out.append(pd.DataFrame({
-            "id": ids[s:s + step][rows[keep]], "x": _lists(part[rows[keep]]),
-            "other": other_ids[flat[keep]], "y": _lists(b[flat[keep]]), "d2": dist[keep]}))
-    return pd.concat(out) if out else _nothing()
-
-
-def _cells(points: DataFrame, dims: int, n: int, cell_rows: int) -> DataFrame:
-    """Adds ``cell``: quantile cuts along the dimensions, then a hash split."""
-    out = points.withColumn("cell", F.lit(0).cast("bigint"))
-    rounds = math.ceil(math.log(max(1.0, n / cell_rows), WAYS)) if n > cell_rows else 0
-    steps = [i / WAYS for i in range(1, WAYS)]
-    for level in range(rounds):
-        at = F.col("x")[level % dims]
-        cuts = stage(out.groupBy("cell").agg(F.percentile_approx(at, steps, 200).alias("cuts")))
-        slot = F.size(F.filter("cuts", lambda c: c < at))
-        out = out.join(cuts, "cell").withColumn(
-            "cell", F.col("cell") * WAYS + slot.cast("bigint")).drop("cuts")
-    out = stage(out)
-    crowd = out.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * cell_rows)).alias("split"))
-    salt = F.pmod(F.xxhash64("id"), F.col("split"))
-    return out.join(crowd, "cell").select(
-        "id", "x", F.xxhash64("cell", salt).alias("cell"))
+def _pairs(bucketed: DataFrame, k: int) -> DataFrame:
+    """The k nearest inside its bucket for each row with ``ask``."""
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _closest(pdf["id"].to_numpy(), np.array(pdf["x"].tolist(), dtype=float), pdf["ask"].to_numpy(dtype=bool), k)
+
+    return bucketed.groupBy("table", "cell", "share").applyInPandas(inside, _PAIR)
 
 
 def _first_k(found: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("id").orderBy("d2", "other")
-    return found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    return found.dropDuplicates(["id", "other"]).withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+
+
+def _named(found: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs with both vectors."""
+    return (found.join(points, "id")
+            .join(points.select(F.col("id").alias("other"), F.col("x").alias("y")), "other")
+            .select("id", "x", "other", "y", "d2", "place"))
+
+
+def _refined(near: DataFrame, k: int) -> DataFrame:
+    """Pairs (staged) with the neighbours of neighbours taken in: lists of at most k meet, no groups."""
+    lists = near.groupBy(F.col("id").alias("of")).agg(F.collect_list(F.struct("other", "y")).alias("near"))
+    met = near.select("id", "x", F.col("other").alias("via")).join(lists, F.col("via") == F.col("of"))
+    met = met.select("id", "x", F.explode("near").alias("n")).select("id", "x", "n.other", "n.y").where(F.col("id") != F.col("other"))
+    gaps = F.zip_with("x", "y", lambda a, b: (a - b) * (a - b))
+    met = met.withColumn("d2", F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap))
+    return _first_k(near.drop("place").unionByName(met), k)
 
 
-def nearest(points: DataFrame, k: int, cell_rows: int | None = None) -> DataFrame:
+def nearest(points: DataFrame, k: int, bucket_rows: int = BUCKET_ROWS, tables: int = TABLES, seed: int = SEED) -> DataFrame:
     """(id, x, other, y, d2, place) for points (id bigint, x array<double>).
 
-    ``place`` runs from 1 to k by distance, then by the other id.
+    ``place`` runs from 1 to ``min(k, rows - 1)`` by distance, then by the other id.
     """
     points = stage(points.select("id", "x"))
     n = points.count()
-    head = points.first()
-    if head is None:
-        return points.sparkSession.createDataFrame([], _FOUND + ", place int")
-    dims = len(head["x"])
-    cell_rows = cell_rows or max(2000, math.isqrt(n))
-    single = n <= cell_rows
-    placed = points.withColumn("cell", F.lit(0).cast("bigint")) if single else stage(
-        _cells(points, dims, n, cell_rows))
-
-    def own(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, m = pdf["id"].to_numpy(), _matrix(pdf["x"])
-        return _closest(ids, m, ids, m, k, skip_self=True)
-
-    # Cells hold up to 2 * cell_rows rows, whatever the data looks like.
-    inside = placed.groupBy("cell").applyInPandas(own, _FOUND)
-    if single:
-        return _first_k(inside, k)
-    radius = inside.groupBy("id").agg(F.max("d2").alias("r2"), F.count(F.lit(1)).alias("found"))
-    reach = placed.join(radius, "id", "left").select(
-        "id", "x", "cell", F.when(F.col("found") >= k, F.col("r2")).alias("r2"))
-
-    # One box per cell: about n / cell_rows <= sqrt(n) rows of 2 * dims numbers.
-    box = placed.groupBy("cell").agg(
-        F.array(*[F.min(F.col("x")[j]) for j in range(dims)]).alias("lo"),
-        F.array(*[F.max(F.col("x")[j]) for j in range(dims)]).alias("hi")).toPandas()
-    limit = 64 * 2**20
-    if len(box) * dims * 16 > limit:
-        raise ValueError("too many cells for one broadcast: raise cell_rows")
-    boxes = points.sparkSession.sparkContext.broadcast(
-        (box["cell"].to_numpy(), _matrix(box["lo"]), _matrix(box["hi"])))
-
-    def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cells, lo, hi = boxes.value
-        step = max(1, 2_000_000 // max(1, len(cells)))
-        for pdf in batches:
-            for s in range(0, len(pdf), step):
-                part = pdf.iloc[s:s + step]
-                m = _matrix(part["x"])
-                d2 = np.zeros((len(m), len(cells)))
-                for j in range(m.shape[1]):
-                    gap = np.maximum(np.maximum(lo[None, :, j] - m[:, j:j + 1],
-                                                m[:, j:j + 1] - hi[None, :, j]), 0)
-                    d2 += gap * gap
-                r2 = part["r2"].to_numpy(dtype=float)
-                near = d2 <= np.where(np.isnan(r2), np.inf, r2)[:, None]
-                near &= part["cell"].to_numpy()[:, None] != cells[None, :]
-                i, c = np.nonzero(near)
-                yield pd.DataFrame({"id": part["id"].to_numpy()[i], "x": _lists(m[i]),
-                                    "target": cells[c]})
-
-    calls = stage(reach.mapInPandas(visits, "id bigint, x array<double>, target bigint"))
-    # A cell with very many visitors is copied, and its visitors shared out.
-    load = calls.groupBy("target").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(2 * cell_rows)).cast("int").alias("copies"))
-    guests = calls.join(load, "target").withColumn(
-        "share", F.pmod(F.xxhash64("id"), F.col("copies")).cast("int"))
-    hosts = placed.join(load, F.col("cell") == F.col("target")).select(
-        "id", "x", F.col("target").alias("at"),
-        F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("part"))
-
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return _nothing()
-        return _closest(left["id"].to_numpy(), _matrix(left["x"]), right["id"].to_numpy(),
-                        _matrix(right["x"]), k, skip_self=False)
-
-    outside = (guests.select("id", "x", "target", "share").groupBy("target", "share")
-               .cogroup(hosts.groupBy("at", "part")).applyInPandas(meet, _FOUND))
-    return _first_k(inside.unionByName(outside), k)
+    if n <= 2 * bucket_rows:
+        one = points.withColumns({"table": F.lit(0), "cell": F.lit(0), "share": F.lit(0), "ask": F.lit(True)})
+        return _named(_first_k(_pairs(one, k), k), points)
+    placed, levels, ways = cells(points, n, bucket_rows, tables, seed)
+    found = stage(_first_k(_pairs(buckets(placed, bucket_rows).withColumn("ask", F.lit(True)), k), k))
+    first = placed.where(F.col("table") == 0)
+    for level in range(levels - 1, -1, -1):
+        full = found.where(F.col("place") == k).select("id")
+        short = stage(first.join(full, "id", "left_anti").select("id"))
+        if not short.head(1):
+            break
+        wider = first.withColumn("cell", F.floor(F.col("cell") / ways ** (levels - level)))
+        asked = wider.join(short.withColumn("ask", F.lit(True)), "id", "left")
+        touched = stage(asked.where("ask").select("cell").distinct())
+        dealt = buckets(asked.join(touched, "cell", "left_semi").withColumn("ask", F.coalesce("ask", F.lit(False))), bucket_rows)
+        found = stage(_first_k(found.drop("place").unionByName(_pairs(dealt, k)), k))
+    return _refined(stage(_named(found, points)), k)
