@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaymart.operators.filters import top_k
+from quaymart.operators.incremental import commit_version, current_version
 
 VALID_FROM, VALID_TO, UPDATED_AT = "dbt_valid_from", "dbt_valid_to", "dbt_updated_at"
 VALIDITY = [VALID_FROM, VALID_TO, UPDATED_AT]
@@ -56,6 +60,86 @@ def apply_snapshot(history: DataFrame, source: DataFrame, key: str, check: Seque
     return closed.select(*columns, *VALIDITY).unionByName(current)
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    """One hash of the checked columns; NULL differs from every value."""
+    marked = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns]
+    return F.sha2(F.to_json(F.array(*marked)).cast("binary"), 256)
+
+
+class SnapshotStore:
+    """A type-2 table that only grows: no visit writes a stored row again.
+
+        <path>/visit-<id>/started    versions that began at a visit, whole rows with their hash
+        <path>/visit-<id>/ended      key and start of the versions that ended at it
+        <path>/pointer-<n>.json      the visits so far, version n
+
+    A version is open until some visit lists it as ended. A visit compares the
+    source with the hashes of the open versions: key, start and hash are read of
+    them, no other column, and what it writes is what has changed. As with keyed
+    tables the pointer comes last, so a visit that dies leaves nothing visible,
+    and of two writers one fails.
+
+    A key whose checked columns differ ends its open version and starts one; a
+    new key starts one; a key that is missing from the source stays open. The
+    source has one row per key; NULL is a key like any other. Visits go forward
+    in time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, check: Sequence[str]):
+        self.spark, self.path, self.key, self.check = spark, path, key, list(check)
+
+    def _state(self) -> dict:
+        return current_version(self.spark, self.path) or {"version": 0, "visits": [], "schema": None, "last": None}
+
+    def _started(self, state: dict) -> DataFrame:
+        schema = T.StructType.fromJson(state["schema"])
+        return self.spark.read.schema(schema).parquet(*[f"{v}/started" for v in state["visits"]])
+
+    def _ended(self, state: dict) -> DataFrame:
+        fields = T.StructType.fromJson(state["schema"])
+        kinds = T.StructType([T.StructField("__ended_key", fields[self.key].dataType), T.StructField("__ended_from", T.TimestampNTZType()),
+                              T.StructField(VALID_TO, T.TimestampNTZType())])
+        return self.spark.read.schema(kinds).parquet(*[f"{v}/ended" for v in state["visits"]])
+
+    def _same_version(self) -> Column:
+        return F.col(self.key).eqNullSafe(F.col("__ended_key")) & (F.col(VALID_FROM) == F.col("__ended_from"))
+
+    def visit(self, source: DataFrame, at: dt.datetime) -> str:
+        """Record what the source looks like at a time; the folder of the visit."""
+        state = self._state()
+        if state["last"] is not None and at.isoformat() <= state["last"]:
+            raise ValueError(f"the last visit was at {state['last']}, this one is at {at.isoformat()}")
+        folder = f"{self.path}/visit-{uuid.uuid4().hex}"
+        seen = source.withColumn("__hash", row_hash(self.check))
+        when = F.lit(at).cast("timestamp_ntz")
+        if state["version"]:
+            open_ = self._started(state).select(self.key, VALID_FROM, "__hash").join(self._ended(state), self._same_version(), "left_anti")
+            open_ = open_.select(F.col(self.key).alias("__key"), F.col(VALID_FROM).alias("__from"), F.col("__hash").alias("__was"))
+            known = F.col(self.key).eqNullSafe(F.col("__key"))
+            changed = seen.join(open_, known & (F.col("__hash") != F.col("__was")))
+            ended = changed.select(F.col(self.key).alias("__ended_key"), F.col("__from").alias("__ended_from"), when.alias(VALID_TO))
+            fresh = seen.join(open_, known & (F.col("__hash") == F.col("__was")), "left_anti")
+        else:
+            fresh = seen
+            ended = seen.limit(0).select(F.col(self.key).alias("__ended_key"), when.alias("__ended_from"), when.alias(VALID_TO))
+        started = fresh.withColumn(VALID_FROM, when)
+        started.write.parquet(f"{folder}/started")
+        ended.write.parquet(f"{folder}/ended")
+        schema = json.loads(started.schema.json())
+        commit_version(self.spark, self.path, {"version": state["version"] + 1, "visits": [*state["visits"], folder],
+                                               "schema": schema, "last": at.isoformat()})
+        return folder
+
+    def history(self) -> DataFrame:
+        """All versions with their validity, as ``apply_snapshot`` has them."""
+        state = self._state()
+        if not state["version"]:
+            raise FileNotFoundError(f"no visit at {self.path}")
+        versions = self._started(state).drop("__hash").join(self._ended(state), self._same_version(), "left")
+        versions = versions.withColumn(UPDATED_AT, F.coalesce(VALID_TO, VALID_FROM))
+        return versions.drop("__ended_key", "__ended_from")
+
+
 def current_versions(history: DataFrame) -> DataFrame:
     return history.where(F.col(VALID_TO).isNull())
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quaymart.operators.incremental import stored_mark, upsert_table
 from quaymart.sources.files import write_csv, write_table
 
 log = logging.getLogger("quaymart.jobs")
@@ -188,20 +189,47 @@ def row_gate(loaded: DataFrame, full: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """A named frame built from other models: kept as a view or written as a table."""
+    """A named frame built from other models: kept as a view or written as a table.
 
-    build: Callable[[Mapping[str, DataFrame]], DataFrame]
+    An ``incremental`` model with ``at`` sees its own target: ``build`` gets, beside
+    the models, the time from which rows are wanted (None for all: there is no
+    target yet), which is the largest stored ``at`` less ``lookback_days``. It
+    should put that time into its scans; rows below it are left out in any case.
+    ``partition_by`` must follow ``at`` and never change for a key.
+    """
+
+    build: Callable[..., DataFrame]
     needs: Sequence[str] = ()
     materialized: str = "table"
     key: str | None = None
+    at: str | None = None
+    partition_by: str | None = None
+    lookback_days: int = 0
+
+
+def _since(spark: SparkSession, model: Model, path: str) -> dt.datetime | None:
+    mark = stored_mark(spark, path, model.at)
+    return None if mark is None else mark - dt.timedelta(days=model.lookback_days)
+
+
+def _increment(spark: SparkSession, model: Model, built: Mapping[str, DataFrame], path: str) -> DataFrame:
+    """Build what is newer than the target and upsert it."""
+    if model.at is None:
+        return upsert_table(spark, path, model.build(built), model.key, model.partition_by)
+    since = _since(spark, model, path)
+    batch = model.build(built, since)
+    if since is not None:
+        batch = batch.where(F.col(model.at) > F.lit(since).cast("timestamp_ntz"))
+    return upsert_table(spark, path, batch, model.key, model.partition_by, fixed=True)
 
 
 def build_models(spark: SparkSession, models: Mapping[str, Model], folder: str,
                  workers: int = 4) -> dict[str, DataFrame]:
     """Build models in dependency order; independent tables run as parallel jobs.
 
-    Views stay lazy, so pruning crosses them. Tables are written and read
-    back; ``incremental`` tables are upserted by their key.
+    Views stay lazy, so pruning crosses them. Tables are written and read back;
+    ``incremental`` ones keep what an earlier build stored in ``folder`` and
+    compute only what is newer (see ``Model``).
     """
     built: dict[str, DataFrame] = {}
     order = TopologicalSorter({n: set(m.needs) for n, m in models.items()})
@@ -209,12 +237,10 @@ def build_models(spark: SparkSession, models: Mapping[str, Model], folder: str,
 
     def make(name: str) -> tuple[str, DataFrame]:
         model = models[name]
+        if model.materialized == "incremental":
+            return name, _increment(spark, model, built, f"{folder}/{name}")
         df = model.build(built)
-        if model.materialized == "table":
-            df = write_table(df, f"{folder}/{name}")
-        elif model.materialized == "incremental":
-            df = write_table(df, f"{folder}/{name}", "upsert", key=model.key)
-        return name, df
+        return name, write_table(df, f"{folder}/{name}") if model.materialized == "table" else df
 
     with ThreadPoolExecutor(workers) as pool:
         while order.is_active():

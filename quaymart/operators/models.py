@@ -20,7 +20,7 @@ from quaymart.functions import half_up, ordinal, pct, ratio, rint_to, to_cents
 from quaymart.operators.balance import fit_sample, SEED, fold, in_train, smote, with_class_weights
 from quaymart.operators.quantiles import exact_median
 from quaymart.session import scratch_path
-from quaymart.sources.files import write_json_row
+from quaymart.sources.files import path_exists, write_json_row
 
 # Fill values and windows of the feature rules.
 NO_PAYMENT_DAYS = 999
@@ -220,7 +220,7 @@ def grid_search(train: DataFrame, key: str, features: Sequence[str],
     model = search.fit(with_class_weights(train, "target").withColumn("fold", fold(key, folds)))
     rows = [(", ".join(f"{p.name}={v}" for p, v in s.items()), float(m), float(d))
             for s, m, d in zip(settings, model.avgMetrics, model.stdMetrics)]
-    return model.bestModel, spark.createDataFrame(rows, "setting string, f1 double, f1_std double")
+    return stored(model.bestModel), spark.createDataFrame(rows, "setting string, f1 double, f1_std double")
 
 
 def cross_scores(df: DataFrame, key: str, features: Sequence[str], folds: int = 5,
@@ -384,6 +384,45 @@ def drift_log(verdicts: DataFrame) -> DataFrame:
     return verdicts.where(F.col("drift_detected") | F.col("warning_only"))
 
 
+class DriftMonitor:
+    """Drift checks over time: a stored baseline and an appended log.
+
+        <path>/baseline    accuracy and time of the first check, one row
+        <path>/log         checks that ended in a warning or in drift, with their time
+
+    The first check has no baseline yet and is held against ``FIRST_BASELINE``;
+    its accuracy is then stored, and every later check reads it.
+    """
+
+    LOG = ("checked_at timestamp_ntz, baseline_accuracy double, current_accuracy double, delta double, status string, message string")
+    BASELINE = "accuracy double, checked_at timestamp_ntz"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def baseline(self) -> float | None:
+        where = f"{self.path}/baseline"
+        return self.spark.read.schema(self.BASELINE).parquet(where).first()["accuracy"] if path_exists(self.spark, where) else None
+
+    def check(self, accuracy: float, at: dt.datetime) -> str:
+        """The status of one check, after the log and, at the first, the baseline were written."""
+        known = self.baseline()
+        row = self.spark.createDataFrame([(at, known, accuracy)], "checked_at timestamp_ntz, baseline_accuracy double, current_accuracy double")
+        names = [f.split()[0] for f in self.LOG.split(", ")]
+        verdict = drift_verdict(row).select(*names).first()
+        if verdict["status"] != "ok":
+            self.spark.createDataFrame([tuple(verdict)], self.LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        if known is None:
+            self.spark.createDataFrame([(verdict["current_accuracy"], at)], self.BASELINE).coalesce(1).write.parquet(f"{self.path}/baseline")
+        return verdict["status"]
+
+    def log(self) -> DataFrame:
+        where = f"{self.path}/log"
+        if not path_exists(self.spark, where):
+            return self.spark.createDataFrame([], self.LOG)
+        return self.spark.read.schema(self.LOG).parquet(where)
+
+
 # --- clusters -----------------------------------------------------------------
 
 CLUSTER_FEATURES = ("total_rentals", "total_spend", "days_since_last_payment")

@@ -8,8 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quaymart.operators.running import prefix_sums, same_keys
 from quaymart.session import stage
 
+# Values inside brackets that one window may put in order; more go through a segmented scan.
+ONE_TASK_VALUES = 100_000
+
 
 def _brackets(probs: Sequence[float], accuracy: int) -> Column:
     """n, and per probability a value range that surely holds the quantile.
@@ -37,18 +41,19 @@ def exact_quantiles(df: DataFrame, value: Column | str, probs: Sequence[float],
 
     Two passes. The first brackets each quantile with a bounded sketch. The
     second counts the distinct values inside the brackets, and for the gaps
-    between them only how many values fall there; both combine map-side. At
-    most ``max(accuracy, 6 n / accuracy)`` values per quantile are ever sorted,
-    and the answer is exact for any distribution. ``df`` is read twice: stage
-    it first if it is costly to compute.
+    between them only how many values fall there; both combine map-side. About
+    ``6 n / accuracy`` values per quantile are left; if they are more than
+    ``ONE_TASK_VALUES``, ranks come from a segmented scan over range partitions, so
+    no task holds all values of a group. A rank that falls outside its bracket
+    would fail the job, not give another value. ``df`` is read twice: stage it
+    first if it is costly to compute.
     """
     v = F.col(value) if isinstance(value, str) else value
     by = list(by)
     rows = df.where(v.isNotNull()).select(*by, v.cast("double").alias("v"))
     if by:
         bounds = rows.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(_brackets(probs, accuracy).alias("b"))
-        same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
-        tagged = rows.join(stage(bounds), same).drop(*[f"__{c}" for c in by])
+        tagged = rows.join(stage(bounds), same_keys(by, "__")).drop(*[f"__{c}" for c in by])
     else:
         tagged = rows.withColumn("b", rows.agg(_brackets(probs, accuracy).alias("b")).scalar())
     inside, below = F.lit(False), []
@@ -59,21 +64,25 @@ def exact_quantiles(df: DataFrame, value: Column | str, probs: Sequence[float],
     gap_after = F.greatest(*below) if len(below) > 1 else below[0]
     slots = tagged.select(*by, F.col("b.n").alias("n"), (~inside).alias("gap"),
                           F.when(inside, F.col("v")).otherwise(gap_after).alias("at"))
-    counted = slots.groupBy(*by, "n", "at", "gap").agg(F.count(F.lit(1)).alias("c"))
-    upto = (Window.partitionBy(*by).orderBy(F.col("at").asc_nulls_first(), "gap")
-            .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counted.withColumn("cum", F.sum("c").over(upto)).where(~F.col("gap"))
+    counted = stage(slots.groupBy(*by, "n", "at", "gap").agg(F.count(F.lit(1)).alias("c")))
+    order = [F.col("at").asc_nulls_first(), F.col("gap")]
+    if counted.count() <= ONE_TASK_VALUES:
+        upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = counted.withColumn("cum", F.sum("c").over(upto))
+    else:
+        ranked = prefix_sums(counted, by, order, "c", "cum")
     picks = []
     for i, p in enumerate(probs):
         h = (F.col("n") - 1) * float(p)
-        picks += [F.min(F.when(F.col("cum") >= F.floor(h) + 1, F.col("at"))).alias(f"a{i}"),
-                  F.min(F.when(F.col("cum") >= F.ceil(h) + 1, F.col("at"))).alias(f"b{i}")]
+        for name, rank in ((f"a{i}", F.floor(h)), (f"b{i}", F.ceil(h))):
+            picks.append(F.min(F.when(F.col("cum") >= rank + 1, F.struct("cum", "gap", "at"))).alias(name))
     picked = ranked.groupBy(*by, "n").agg(*picks)
     out = []
     for i, p in enumerate(probs):
         h = (F.col("n") - 1) * float(p)
-        out.append((F.col(f"a{i}") + (h - F.floor(h)) * (F.col(f"b{i}") - F.col(f"a{i}")))
-                   .alias(f"q{i}"))
+        low, high = (F.when(F.col(f"{x}.gap"), F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
+                     .otherwise(F.col(f"{x}.at")) for x in (f"a{i}", f"b{i}"))
+        out.append((low + (h - F.floor(h)) * (high - low)).alias(f"q{i}"))
     return picked.select(*by, "n", *out)
 
 

@@ -172,8 +172,7 @@ def rolling_by_customer(payment: DataFrame, **options) -> DataFrame:
     """Rolling-3 mean, running sum and running maximum of a customer's payments."""
     rows = running_by_key(
         payment.withColumn("cents", to_cents("amount")), "customer_id",
-        ["payment_date", "rental_id", "film_id", "cents"],
-        F.unix_date(F.col("payment_date").cast("date")), "cents", **options)
+        ["payment_date", "rental_id", "film_id", "cents"], "cents", **options)
     return rows.select(
         "customer_id", "rental_id", "film_id", "payment_date", "amount",
         ratio("roll_sum", "roll_n", 4, 2, half="even").alias("rolling_3_avg"),

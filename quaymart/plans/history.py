@@ -11,7 +11,7 @@ from quaymart.operators import marts as M
 from quaymart.plans.marts import market
 from quaymart.plans.registry import query
 from quaymart.plans.twins import add_view, twin
-from quaymart.session import stage
+from quaymart.session import scratch_path, stage
 
 SEEN = (dt.datetime(1998, 1, 1), dt.datetime(2000, 1, 1), dt.datetime(2002, 1, 1))
 CHECKED = ("order_status", "delivered_at")
@@ -37,13 +37,12 @@ def as_seen(orders, at: dt.datetime):
 
 
 def snapshots(spark, folder):
-    """Three visits to the orders. The history is stored after each, as a table
-    would be: the next visit reads it for its open and for its closed versions."""
+    """Three visits to the orders, kept in a snapshot store."""
     orders = stage(M.stg_orders(market(spark, folder).orders).select(*COLUMNS))
-    history = H.first_snapshot(as_seen(orders, SEEN[0]), SEEN[0])
-    for at in SEEN[1:]:
-        history = stage(H.apply_snapshot(history, as_seen(orders, at), "order_id", CHECKED, at))
-    return history
+    store = H.SnapshotStore(spark, scratch_path(spark, "orders-snapshot"), "order_id", CHECKED)
+    for at in SEEN:
+        store.visit(as_seen(orders, at), at)
+    return store.history()
 
 
 def _seen_sql(at: dt.datetime) -> str:

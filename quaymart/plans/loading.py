@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quaymart.functions import cut_right_closed, ratio
 from quaymart.operators import marts as M
 from quaymart.operators import rentals as R
-from quaymart.operators.incremental import newer_than, upsert_table, watermark
+from quaymart.operators.incremental import EPOCH, newer_than, read_keyed, stored_mark, upsert_table, watermark
 from quaymart.operators.jobs import (
     Job, Model, build_models, read_audit, row_gate,
 )
@@ -31,6 +31,7 @@ MONTH = "1997-03-01"
 QUARTER = ("1998-01-01", "1998-04-01")
 CSV_TABLES = ("customer", "orders", "part")
 FULL_LOAD = 500
+LOOKBACK_DAYS = 31
 
 
 @query("scan_count", "SELECT count(*) AS row_count FROM lineitem")
@@ -210,12 +211,40 @@ def q_incremental_upsert(spark, folder):
             "purchase_month", M.month_start("purchased_at"))
 
     path = scratch_path(spark, "order-metrics")
-    first = upsert_table(spark, path, metrics(bought_to=ORDER_CUT.isoformat()), "order_id",
-                         "purchase_month")
-    mark, again = watermark(first, "purchased_at"), 31
+    upsert_table(spark, path, metrics(bought_to=ORDER_CUT.isoformat()), "order_id", "purchase_month")
+    mark, again = stored_mark(spark, path, "purchased_at") or EPOCH, LOOKBACK_DAYS
     batch = newer_than(metrics(bought_from=(mark - dt.timedelta(days=again)).isoformat()),
                        "purchased_at", mark, lookback_days=again)
-    return upsert_table(spark, path, batch, "order_id", "purchase_month")
+    return upsert_table(spark, path, batch, "order_id", "purchase_month", fixed=True)
+
+
+def two_builds(spark, folder):
+    """The order models built on the orders up to a cut, then on all; the folder of the tables."""
+    m, root = market(spark, folder), scratch_path(spark, "order-models")
+    build_models(spark, order_models(m, ORDER_CUT.isoformat()), root)
+    build_models(spark, order_models(m), root)
+    return root
+
+
+@query("incremental_models", twin("v_order_metrics", """SELECT *,
+    CAST(date_trunc('month', purchased_at) AS DATE) AS purchase_month FROM v_order_metrics"""))
+def q_incremental_models(spark, folder):
+    """The order mart after two builds, the second of which sees the stored target."""
+    return read_keyed(spark, f"{two_builds(spark, folder)}/mart_order_metrics")
+
+
+@query("incremental_touched", f"""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS purchase_month, count(*) AS orders,
+    max(o_orderdate) > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{ORDER_CUT}')
+      - INTERVAL {LOOKBACK_DAYS} DAY AS written_again
+FROM orders GROUP BY 1""")
+def q_incremental_touched(spark, folder):
+    """Months of the order facts and whether the second build wrote them: its files lie in the newest data folder."""
+    table = read_keyed(spark, f"{two_builds(spark, folder)}/order_facts")
+    written = F.regexp_extract(F.col("_metadata.file_path"), "/data-([0-9a-f]+)/", 1)
+    months = table.groupBy("purchase_month", written.alias("folder")).agg(
+        F.count(F.lit(1)).alias("orders"), F.max("_metadata.file_modification_time").alias("at"))
+    newest = months.agg(F.max_by("folder", "at")).scalar()
+    return months.select("purchase_month", "orders", (F.col("folder") == newest).alias("written_again"))
 
 
 @query("incremental_stream", "SELECT * FROM events")
@@ -261,18 +290,37 @@ def q_incremental_late_rows(spark, folder):
     return out
 
 
+def order_models(m, bought_to=None):
+    """The order facts and the order mart, each computed only from where its stored rows end.
+
+    The facts take the time into the scan of the orders, and with it into that of
+    the lines; the mart reads the facts stored since then.
+    """
+    def facts(_, since):
+        return m.order_facts(since and since.isoformat(), bought_to).withColumn("purchase_month", M.month_start("purchased_at"))
+
+    def metrics(built, since):
+        rows = built["order_facts"]
+        if since is not None:
+            rows = rows.where(F.col("purchased_at") > F.lit(since).cast("timestamp_ntz"))
+        return M.order_metrics(rows, built["stg_customers"]).withColumn("purchase_month", M.month_start("purchased_at"))
+
+    kept = {"materialized": "incremental", "key": "order_id", "at": "purchased_at", "partition_by": "purchase_month",
+            "lookback_days": LOOKBACK_DAYS}
+    return {
+        "order_facts": Model(facts, **kept),
+        "stg_customers": Model(lambda _: M.stg_customers(m.customers), materialized="view"),
+        "mart_order_metrics": Model(metrics, ("order_facts", "stg_customers"), **kept),
+    }
+
+
 def mart_models(m):
     """Staging views and mart tables with their dependencies."""
     since = F.lit(MONTHS_FROM).cast("timestamp_ntz")
-    return {
-        "order_facts": Model(lambda _: m.order_facts(), materialized="table"),
-        "stg_customers": Model(lambda _: M.stg_customers(m.customers), materialized="view"),
+    return order_models(m) | {
         "mart_customer_ltv": Model(
             lambda b: M.customer_ltv(b["order_facts"], b["stg_customers"], last_purchase(m),
                                      LTV_CUTS), ("order_facts", "stg_customers")),
-        "mart_order_metrics": Model(
-            lambda b: M.order_metrics(b["order_facts"], b["stg_customers"]),
-            ("order_facts", "stg_customers"), "incremental", "order_id"),
         "mart_seller_summary": Model(
             lambda b: M.seller_summary(m.sellers, m.order_items, b["order_facts"]),
             ("order_facts",)),
@@ -287,7 +335,7 @@ def mart_models(m):
     }
 
 
-CHAIN_ROWS = """SELECT 'order_facts' AS model, 'table' AS materialized, count(*) AS row_count FROM orders
+CHAIN_ROWS = """SELECT 'order_facts' AS model, 'incremental' AS materialized, count(*) AS row_count FROM orders
 UNION ALL SELECT 'stg_customers', 'view', count(*) FROM m_customers
 UNION ALL SELECT 'mart_customer_ltv', 'table', count(*) FROM v_ltv
 UNION ALL SELECT 'mart_order_metrics', 'incremental', count(*) FROM v_order_metrics

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quaymart.functions import rint_to
 from quaymart.operators import marts as M
 from quaymart.operators import models as L
-from quaymart.operators.balance import FIT_ROWS, SEED, smote, split_counts
+from quaymart.operators.balance import SEED, smote, split_counts
 from quaymart.operators.jobs import Outcome, append_audit, build_models, read_audit
 from quaymart.plans.loading import CHAIN_ROWS, mart_models
 from quaymart.plans.marts import ltv, market
@@ -229,9 +229,34 @@ def q_drift_log(spark, folder):
     return L.drift_log(q_drift_verdict(spark, folder))
 
 
+# Three checks, each of the orders of one year.
+CHECKED_AT = {dt.datetime(y, 12, 31, 6): y for y in (1996, 1998, 2000)}
+_YEAR_ACCURACY = f"""SELECT year(purchased_at) AS y, CAST({_r4('count(CASE WHEN label = prediction THEN 1 END) / CAST(count(*) AS DOUBLE)')}
+    AS DECIMAL(6,4)) AS c FROM v_rule WHERE year(purchased_at) IN ({', '.join(map(str, CHECKED_AT.values()))}) GROUP BY 1"""
+
+
+@query("drift_runs", twin("v_rule", f"""
+SELECT make_timestamp(y, 12, 31, 6, 0, 0) AS checked_at, CAST(b AS DOUBLE) AS baseline_accuracy, CAST(c AS DOUBLE) AS current_accuracy,
+    CAST(b - c AS DOUBLE) AS delta, CASE WHEN b - c >= 0.05 THEN 'drift' ELSE 'warning' END AS status,
+    CASE WHEN b - c >= 0.05 THEN 'retrain: ' ELSE 'watch: ' END || CAST(CAST((b - c) * 100 AS DECIMAL(6,1)) AS VARCHAR) || ' points below '
+      || CAST(b AS VARCHAR) || ' at ' || CAST(c AS VARCHAR) AS message
+FROM (SELECT y, c, CASE WHEN y = min(y) OVER () THEN CAST({L.FIRST_BASELINE} AS DECIMAL(6,4)) ELSE first_value(c) OVER (ORDER BY y) END AS b
+  FROM ({_YEAR_ACCURACY})) WHERE b - c >= 0.02"""))
+def q_drift_runs(spark, folder):
+    """The log after three checks: the first sets the baseline that the others are held against."""
+    rows = rule_predictions(spark, folder)
+    hit = F.count_if(F.col("label") == F.col("prediction"))
+    by_year = rows.groupBy(F.year("purchased_at").alias("y")).agg(rint_to(hit / F.count(F.lit(1)).cast("double"), 4).alias("accuracy"))
+    accuracy = {r["y"]: r["accuracy"] for r in by_year.where(F.col("y").isin(*CHECKED_AT.values())).collect()}
+    monitor = L.DriftMonitor(spark, scratch_path(spark, "drift"))
+    for at, year in CHECKED_AT.items():
+        monitor.check(accuracy[year], at)
+    return monitor.log()
+
+
 @query("smote_balance", twin("v_ltv", """SELECT target, false AS synthetic, n FROM sides
 UNION ALL SELECT target, true, (SELECT max(n) FROM sides) - n FROM sides
-WHERE n > 1 AND n < (SELECT max(n) FROM sides)""", sides=f"""SELECT target, least(count(*), {FIT_ROWS}) AS n FROM (
+WHERE n > 1 AND n < (SELECT max(n) FROM sides)""", sides=f"""SELECT target, count(*) AS n FROM (
     SELECT CAST(last_order_date < TIMESTAMP '{CHURN_CUT}' AS BIGINT) AS target FROM v_ltv
     WHERE {in_train_sql('customer_unique_id')}) GROUP BY 1"""))
 def q_smote_balance(spark, folder):
@@ -264,8 +289,8 @@ def q_grid_search(spark, folder):
     """The full grid by 5-fold cross validation on the training side; the best setting's F1 on the test side."""
     train, test = L.split(stage(churn_frame(spark, folder)), "customer_id")
     best, scores = L.grid_search(stage(train), "customer_id", L.CHURN_FEATURES)
-    held = L.positive_f1(best.transform(test), "target", "prediction")
-    return scores.withColumn("best_on_test", held.scalar())
+    held = L.positive_f1(best.transform(test), "target", "prediction").first()[0]
+    return scores.withColumn("best_on_test", F.lit(held).cast("double"))
 
 
 @query("cross_scores")

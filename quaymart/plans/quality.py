@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from quaymart.plans.registry import query
 from quaymart.plans.rentals import rentals, tiers
 from quaymart.plans.twins import twin
 from quaymart.session import stage
-from quaymart.sources.tables import KEYS, TABLES, schema_columns
+from quaymart.sources.tables import (
+    FOREIGN_KEYS, KEYS, TABLES, catalog_columns, register_folder, schema_columns, with_keys,
+)
 
 CORE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 # Expected rows at the scale factor of the correctness run.
@@ -270,6 +273,27 @@ def q_schema_columns(spark, folder):
     return out
 
 
+def _catalog_sql() -> str:
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz",
+             "DATE": "date", "BOOLEAN": "boolean", "FLOAT[]": "array<float>"}
+    kind = " ".join(f"WHEN '{duck}' THEN '{spark}'" for duck, spark in kinds.items())
+    keys = " OR ".join(f"(table_name = '{t}' AND column_name = '{c}')" for t, c in KEYS.items())
+    refs = " ".join(f"WHEN table_name = '{t}' AND column_name = '{c}' THEN '{'.'.join(to)}'" for (t, c), to in FOREIGN_KEYS.items())
+    tables = " UNION ALL ".join(f"""SELECT '{t}' AS table_name, column_name, column_type,
+        CAST(row_number() OVER () AS INTEGER) AS position FROM (DESCRIBE {t})""" for t in TABLES)
+    return f"""SELECT table_name, column_name, CASE column_type {kind} ELSE column_type END AS data_type, position,
+        {keys} AS is_key, CASE {refs} END AS references_column FROM ({tables})"""
+
+
+@query("catalog_columns", _catalog_sql())
+def q_catalog_columns(spark, folder):
+    """Every column of every table of the folder, read from the session catalog."""
+    t = market(spark, folder).t
+    database = "quaymart_" + hashlib.md5(t.folder.encode()).hexdigest()[:12]
+    register_folder(spark, t.folder, database)
+    return with_keys(catalog_columns(spark, database))
+
+
 _RULES = " UNION ALL ".join(
     f"SELECT '{job}' AS job, '{c['target']}' AS table_name, CAST({c['min_rows']} AS BIGINT) AS min_rows"
     for job, c in CONFIG.items())

@@ -51,6 +51,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(hadoop).exists(p)
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The entries of a folder; none if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def load_csv_tables(spark: SparkSession, files: Mapping[str, str], schemas: Mapping[str, T.StructType],
                     target: str) -> dict[str, DataFrame]:
     """Bulk load: file path per table name; absent files are skipped."""

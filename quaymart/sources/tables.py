@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaymart.session import apply_settings
+from quaymart.sources.files import listed
 
 _L, _I, _D, _S, _TS = (T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(),
                        T.TimestampNTZType())
@@ -103,6 +104,41 @@ def jdbc_scan(spark: SparkSession, url: str, table: str, column: str, lower, upp
             .load())
 
 
+def register_folder(spark: SparkSession, folder: str, database: str) -> list[str]:
+    """Put every ``<name>.parquet`` of a folder into the session catalog as an external table.
+
+    The tables read the files where they lie; a table that was registered before
+    is replaced, one whose files are gone is dropped. Names are those that the
+    catalog takes: letters, digits and underscores.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = sorted(p.rstrip("/").rsplit("/", 1)[1].removesuffix(".parquet") for p in listed(spark, folder) if p.rstrip("/").endswith(".parquet"))
+    for known in spark.catalog.listTables(database):
+        if not known.isTemporary:
+            spark.sql(f"DROP TABLE {database}.`{known.name}`")
+    for name in names:
+        spark.catalog.createTable(f"{database}.`{name}`", path=f"{folder.rstrip('/')}/{name}.parquet", source="parquet")
+    return names
+
+
+def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
+    """``table_name, column_name, data_type, position`` of all tables, as the session catalog has them."""
+    rows = [(t.name, c.name, c.dataType, at)
+            for t in spark.catalog.listTables(database) if not t.isTemporary
+            for at, c in enumerate(spark.catalog.listColumns(f"{database}.`{t.name}`"), start=1)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, position int")
+
+
+def with_keys(columns: DataFrame) -> DataFrame:
+    """Adds ``is_key`` and ``references_column``, which a catalog of files cannot know, from the declared keys."""
+    key, ref = F.lit(False), F.lit(None).cast("string")
+    for table, column in KEYS.items():
+        key = key | ((F.col("table_name") == table) & (F.col("column_name") == column))
+    for (table, column), target in FOREIGN_KEYS.items():
+        ref = F.when((F.col("table_name") == table) & (F.col("column_name") == column), ".".join(target)).otherwise(ref)
+    return columns.withColumns({"is_key": key, "references_column": ref})
+
+
 def schema_columns(names: Iterable[str] = TABLES) -> list[tuple]:
     """(table, column, type, position, is_key, references) for the catalog query."""
     out = []

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quaymart.operators import history as H
 from quaymart.operators import incremental as I
 from quaymart.operators import jobs as J
+from quaymart.operators import marts as M
 from quaymart.session import scratch_path, shared_dir
 from quaymart.sources import files
 from quaymart.sources.tables import TABLES
@@ -85,7 +86,7 @@ def test_crash_before_pointer_keeps_old_version(spark, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as m:
-        m.setattr(I, "_commit", fail)
+        m.setattr(I, "commit_version", fail)
         with pytest.raises(OSError, match="lost"):
             I.upsert_table(spark, where, two, "id")
     assert pairs(I.read_keyed(spark, where)) == [(1, "a")]
@@ -254,3 +255,86 @@ def test_stream_reads_each_file_once(spark):
 
 def test_shared_dir_follows_the_session(spark):
     assert spark.conf.get("spark.checkpoint.dir") == shared_dir(spark)
+
+
+def test_crash_of_the_first_upsert_leaves_no_table(spark, monkeypatch):
+    where = path(spark, "keyed")
+
+    def fail(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "commit_version", fail)
+        with pytest.raises(RuntimeError):
+            I.upsert_table(spark, where, spark.range(1, 3), "id")
+    with pytest.raises(FileNotFoundError):
+        I.read_keyed(spark, where)
+    assert [r.id for r in I.upsert_table(spark, where, spark.range(3, 4), "id").collect()] == [3]
+
+
+@pytest.mark.parametrize("part", [None, "p"])
+def test_null_is_a_key_and_repeated_keys_are_refused(spark, part):
+    where = path(spark, "keyed")
+    rows = lambda *r: spark.createDataFrame(list(r), "id bigint, v string, n bigint, p string")
+    for _ in range(2):
+        got = I.upsert_table(spark, where, rows((None, "a", 1, "x"), (1, "b", 1, None)), "id", part)
+        assert sorted(map(str, got.collect())) == sorted(map(str, rows((None, "a", 1, "x"), (1, "b", 1, None)).collect()))
+    for twice in (rows((2, "c", 1, "x"), (2, "d", 2, "x")), rows((None, "c", 1, "x"), (None, "d", 2, "y"))):
+        with pytest.raises(ValueError, match="2 rows with id"):
+            I.upsert_table(spark, where, twice, "id", part)
+        with pytest.raises(ValueError, match="2 rows with id"):
+            I.upsert_table(spark, path(spark, "fresh"), twice, "id", part)
+        assert I.read_keyed(spark, where).count() == 2
+        newest = I.upsert_table(spark, path(spark, "fresh"), twice, "id", part, order=["n"])
+        assert [r.v for r in newest.collect()] == ["d"]
+
+
+def test_mark_and_parts_of_a_keyed_table(spark):
+    where = path(spark, "keyed")
+    assert I.stored_mark(spark, where, "t") is None
+    rows = spark.createDataFrame([(i, D(2020, m, 2)) for i, m in enumerate((1, 1, 2, 4))] + [(9, None)], "id bigint, t timestamp_ntz")
+    rows = rows.selectExpr("*", "CAST(date_trunc('month', t) AS date) AS month")
+    I.upsert_table(spark, where, rows, "id", "month", fixed=True)
+    assert I.stored_mark(spark, where, "t") == D(2020, 4, 2)
+    assert sorted(r.id for r in I.read_keyed(spark, where, since="2020-02-01").collect()) == [2, 3]
+
+
+def test_second_build_touches_new_months_only(spark, small):
+    """The second build of the order models scans, reads and writes from the mark on."""
+    from compare import plan_of
+
+    from quaymart.plans import loading as P
+    from quaymart.plans.marts import market
+
+    m, root = market(spark, small), path(spark, "models")
+    models = P.order_models(m, P.ORDER_CUT.isoformat())
+    J.build_models(spark, models, root)
+    before = {n: I.current_version(spark, f"{root}/{n}") for n in ("order_facts", "mart_order_metrics")}
+    since = I.stored_mark(spark, f"{root}/order_facts", "purchased_at") - dt.timedelta(days=P.LOOKBACK_DAYS)
+    plan = plan_of(P.order_models(m)["order_facts"].build({}, since))
+    assert f"GreaterThanOrEqual(o_orderdate,{since.isoformat()[:10]}" in plan     # the source is cut at its scan
+    J.build_models(spark, P.order_models(m), root)
+    for name, old in before.items():
+        new = I.current_version(spark, f"{root}/{name}")
+        first = since.date().replace(day=1).isoformat()
+        kept = {p for p, v in old["values"].items() if v < first}
+        assert kept and all(new["parts"][p] == old["parts"][p] for p in kept)
+        assert all(new["parts"][p] != old["parts"].get(p) for p, v in new["values"].items() if v > P.ORDER_CUT.date().isoformat())
+    J.build_models(spark, P.order_models(m), root)       # nothing new: the look-back is read again, to the same end
+    whole = M.order_metrics(m.order_facts(), m.customers)
+    stored = I.read_keyed(spark, f"{root}/mart_order_metrics").select(*whole.columns)
+    assert stored.count() == whole.count() and stored.exceptAll(whole).isEmpty()
+
+
+def test_drift_checks_keep_their_baseline_and_log(spark):
+    from quaymart.operators.models import DriftMonitor
+
+    where = path(spark, "drift")
+    assert DriftMonitor(spark, where).log().collect() == [] and DriftMonitor(spark, where).baseline() is None
+    got = [DriftMonitor(spark, where).check(a, D(2024, 1, i)) for i, a in enumerate((0.95, 0.94, 0.93, 0.90, 0.9), 1)]
+    assert got == ["ok", "ok", "warning", "drift", "drift"]       # the first against 0.90, the others against 0.95
+    assert DriftMonitor(spark, where).baseline() == 0.95
+    log = sorted(tuple(r) for r in DriftMonitor(spark, where).log().collect())
+    assert [r[:2] + r[4:5] for r in log] == [(D(2024, 1, 3), 0.95, "warning"), (D(2024, 1, 4), 0.95, "drift"), (D(2024, 1, 5), 0.95, "drift")]
+    low = path(spark, "drift")
+    assert DriftMonitor(spark, low).check(0.8, D(2024, 1, 1)) == "drift" and DriftMonitor(spark, low).check(0.8, D(2024, 1, 2)) == "ok"

@@ -63,7 +63,7 @@ def test_dense_ranks(spark):
 @pytest.mark.parametrize("hot_rows,rolling", [(10_000, 3), (25, 3), (0, 3), (25, 5)])
 def test_running_slices_equal_plain_window(spark, hot_rows, rolling):
     df = values(spark).select("k", "v", F.col("id").alias("t"))
-    got = running.running_by_key(df, "k", ["t"], F.floor(F.col("t") / 13), "v", rolling, hot_rows)
+    got = running.running_by_key(df, "k", ["t"], "v", rolling, hot_rows)
     w = Window.partitionBy("k").orderBy("t")
     last = w.rowsBetween(-(rolling - 1), 0)
     want = df.select("k", "t", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("m"),
@@ -90,6 +90,43 @@ def test_exact_quantiles(spark, accuracy):
         assert np.allclose([g[f"q{i}"] for i in range(5)], np.quantile(x, probs))
 
 
+def test_one_key_and_one_day_are_split(spark):
+    """All rows under one key at one time: many tasks hold a part of them, with the values of the plain window."""
+    rows = spark.range(40_000, numPartitions=8).selectExpr("7 AS k", "DATE'2020-01-01' AS day", "id", "pmod(xxhash64(id), 1000) AS v")
+    got = running.running_by_key(rows, "k", ["day", "id"], "v", 4, hot_rows=1000, parts=16)
+    w = Window.partitionBy("k").orderBy("day", "id")
+    last = w.rowsBetween(-3, 0)
+    want = rows.withColumns({"run_sum": F.sum("v").over(w), "run_max": F.max("v").over(w), "roll_sum": F.sum("v").over(last),
+                             "roll_n": F.count("v").over(last)})
+    assert got.select(*want.columns).exceptAll(want).isEmpty() and got.count() == 40_000
+    sizes = [r["count"] for r in running.range_parts(rows, ["k", "day", "id", "v"], 16).groupBy("__part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 40_000 / 16
+
+
+def test_prefix_sums(spark):
+    df = values(spark).select("k", "v", F.col("id").alias("t")).where("v IS NOT NULL")
+    df = df.unionByName(df.limit(40).withColumn("k", F.lit(None).cast(df.schema["k"].dataType)))
+    for by in ([], ["k"]):
+        got = running.prefix_sums(df, by, [F.col("t").desc(), F.col("v")], "v", "s", parts=7)
+        w = Window.partitionBy(*by).orderBy(F.desc("t"), "v").rowsBetween(Window.unboundedPreceding, 0)
+        want = df.withColumn("s", F.sum("v").over(w))
+        keyed = lambda d: sorted(map(str, d.select("k", "t", "v", *["s"][:bool(by)]).collect()))
+        assert keyed(got) == keyed(want)
+        assert sorted(r.s for r in got.collect())[-1] == sorted(r.s for r in want.collect())[-1]
+
+
+def test_quantiles_of_a_million_values(spark, monkeypatch):
+    """So many distinct values in the brackets that no single window may hold them."""
+    rows = spark.range(1_000_000).selectExpr("IF(id % 3 = 0, 'a', NULL) AS g", "pmod(xxhash64(id), 1L << 40) / 7.0D AS x")
+    monkeypatch.setattr(quantiles, "ONE_TASK_VALUES", 50)
+    monkeypatch.setattr(quantiles, "Window", None)         # the plain window is not in reach
+    for by in ([], ["g"]):
+        got = {tuple(r[c] for c in by): (r.n, r.q0, r.q1) for r in quantiles.exact_quantiles(rows, "x", [0.5, 0.99], by, accuracy=2000).collect()}
+        want = {tuple(r[c] for c in by): (r.n, *r.q) for r in
+                rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.percentile("x", F.array(F.lit(0.5), F.lit(0.99))).alias("q")).collect()}
+        assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], rtol=1e-14) for k in want)
+
+
 def test_median_of_everything(spark):
     df = spark.createDataFrame([(1.0,), (None,), (10.0,), (4.0,), (2.0,)], "x double")
     assert df.limit(1).select(quantiles.exact_median(df, "x")).first()[0] == 3.0
@@ -112,22 +149,48 @@ def cloud(n, dims, seed):
     return m
 
 
-@pytest.mark.parametrize("cell_rows", [None, 15])
-def test_neighbours_equal_brute_force(spark, cell_rows):
-    m, k = cloud(240, 3, 3), 4
-    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(m)],
-                               "id bigint, x array<double>")
-    got: dict[int, list[float]] = {}
-    for r in neighbours.nearest(df, k, cell_rows).collect():
-        assert r["id"] != r["other"]
+def near_rows(spark, m, k, **options):
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(m)], "id bigint, x array<double>")
+    got: dict[int, list] = {}
+    for r in sorted(neighbours.nearest(df, k, **options).collect(), key=lambda r: r["place"]):
+        assert r["id"] != r["other"] and np.allclose(r["x"], m[r["id"]]) and np.allclose(r["y"], m[r["other"]])
         assert np.isclose(r["d2"], ((m[r["id"]] - m[r["other"]]) ** 2).sum())
         got.setdefault(r["id"], []).append(r["d2"])
+    assert len(got) == len(m) and all(len(d) == k and d == sorted(d) for d in got.values())
+    return got
+
+
+def nearest_distances(m, k):
     d2 = ((m[:, None] - m[None]) ** 2).sum(-1)
     np.fill_diagonal(d2, np.inf)
-    want = np.sort(d2, axis=1)[:, :k]
-    assert len(got) == len(m)
-    for i in range(len(m)):
-        assert np.allclose(sorted(got[i]), want[i])
+    return np.sort(d2, axis=1)[:, :k]
+
+
+def test_neighbours_of_few_points_are_exact(spark):
+    m, k = cloud(240, 3, 3), 4
+    got, want = near_rows(spark, m, k), nearest_distances(m, k)
+    assert all(np.allclose(got[i], want[i]) for i in range(len(m)))
+
+
+def test_neighbours_of_many_points(spark):
+    """Buckets much smaller than the points, a third of which coincide: recall, and k rows for every point."""
+    m, k = cloud(3000, 5, 3), 5
+    got, want = near_rows(spark, m, k, bucket_rows=60), nearest_distances(m, k)
+    hits = sum(d <= w[-1] * (1 + 1e-9) for i, w in enumerate(want) for d in got[i])
+    assert hits >= 0.95 * want.size
+    tiny = near_rows(spark, m[:400], 5, bucket_rows=3, tables=1)     # cells of less than k rows look further
+    assert len(tiny) == 400
+
+
+def test_visits_do_not_grow_with_the_points(spark):
+    visits = {}
+    for n in (20_000, 80_000):
+        df = spark.range(n).select("id", F.array(*[F.randn(j) for j in range(5)]).alias("x"))
+        placed, _, _ = neighbours.cells(df, n)
+        sizes = neighbours.buckets(placed).groupBy("table", "cell", "share").count()
+        visits[n] = sizes.agg(F.sum(F.col("count") * F.col("count")) / n).first()[0]
+    limit = 2 * neighbours.TABLES * neighbours.BUCKET_ROWS
+    assert visits[80_000] < 1.15 * visits[20_000] and max(visits.values()) < limit
 
 
 def test_smote_balances_and_stays_between_neighbours(spark):
