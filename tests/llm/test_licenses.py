@@ -21,8 +21,9 @@ def places(words, phrase):
 
 def brute(text):
     text = text or ""
-    found = [(m.start(), m.end()) for m in WORD.finditer(lower(text))]
-    words = [lower(text)[a:b] for a, b in found]
+    low = lower(text)
+    found = [(m.start(), m.end()) for m in WORD.finditer(low)]
+    words = [low[a:b] for a, b in found]
     base = {p: places(words, p) for p in L.BASE}
     own = {(i, len(p.split())): label for p, label in L.NOTICES.items() for i in places(words, p)}
     own = {i: label for (i, n), label in own.items() if n == max(m for j, m in own if j == i)}
