@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from quaymart.functions import half_up, ordinal, pct, ratio, rint_to, to_cents
 from quaymart.operators.balance import fit_sample, SEED, fold, in_train, smote, with_class_weights
 from quaymart.operators.quantiles import exact_median
-from quaymart.session import scratch_path
+from quaymart.session import scratch_path, stage
 from quaymart.sources.files import path_exists, write_json_row
 
 # Fill values and windows of the feature rules.
@@ -223,21 +223,35 @@ def grid_search(train: DataFrame, key: str, features: Sequence[str],
     return stored(model.bestModel), spark.createDataFrame(rows, "setting string, f1 double, f1_std double")
 
 
-def cross_scores(df: DataFrame, key: str, features: Sequence[str], folds: int = 5,
-                 trees: int = 100, depth: int = 10) -> DataFrame:
-    """F1 per fold, weighted (``f1``) and of the positive class (``f1_positive``): balance and
-    fit on the other folds, score on this one."""
+def cross_predictions(df: DataFrame, key: str, features: Sequence[str], folds: int = 5,
+                      trees: int = 100, depth: int = 10) -> DataFrame:
+    """``key, fold, target, prediction``: every row scored by a model that was balanced and fitted on the other folds."""
     tagged = df.withColumn("fold", fold(key, folds))
     out = None
     for i in range(folds):
         model = fit_balanced_forest(tagged.where(F.col("fold") != i), key, features, trees, depth)
-        scored = model.transform(tagged.where(F.col("fold") == i))
-        row = classification_metrics(scored, "target", "prediction").select(F.lit(i).alias("fold"), "f1")
-        row = row.crossJoin(positive_f1(scored, "target", "prediction"))  # one row by one row
+        scored = model.transform(tagged.where(F.col("fold") == i)).select(key, "fold", "target", "prediction")
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
+def fold_scores(scored: DataFrame, folds: int) -> DataFrame:
+    """F1 per fold, weighted (``f1``) and of the positive class (``f1_positive``)."""
+    out = None
+    for i in range(folds):
+        one = scored.where(F.col("fold") == i)
+        row = classification_metrics(one, "target", "prediction").select(F.lit(i).alias("fold"), "f1")
+        row = row.crossJoin(positive_f1(one, "target", "prediction"))  # one row by one row
         out = row if out is None else out.unionByName(row)
     return out
 
 
+def cross_scores(df: DataFrame, key: str, features: Sequence[str], folds: int = 5,
+                 trees: int = 100, depth: int = 10) -> DataFrame:
+    """F1 per fold: balance and fit on the other folds, score on this one."""
+    return fold_scores(stage(cross_predictions(df, key, features, folds, trees, depth)), folds)
+
+
 # --- metrics ------------------------------------------------------------------
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:

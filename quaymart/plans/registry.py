@@ -13,7 +13,7 @@ QUERIES: dict[str, Query] = {}
 SQL_TWINS: dict[str, str] = {}
 
 FAMILIES = ("filters", "rentals", "marts", "aggregates", "windows", "timeseries", "quality",
-            "loading", "history", "models")
+            "loading", "history", "models", "training")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
