@@ -125,6 +125,17 @@ def run_tests(tests: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def count_violations(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
+    """Verdict rows of tests that look at one row at a time: all of a frame in one aggregate.
+
+    A test is the condition of a violation; NULL is none.
+    """
+    counts = df.agg(*[F.count_if(bad).alias(f"t{i}") for i, bad in enumerate(tests.values())])
+    rows = [F.struct(F.lit(name).alias("test_name"), F.col(f"t{i}").alias("failures"), (F.col(f"t{i}") == 0).alias("passed"))
+            for i, name in enumerate(tests)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 # --- profiles -----------------------------------------------------------------
 
 def duplicate_rows(df: DataFrame) -> Column:

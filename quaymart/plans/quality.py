@@ -122,32 +122,48 @@ def q_dq_singular(spark, folder):
             F.col("is_late") & F.col("delivered_at").isNull())})
 
 
-def mart_tests(orders, customers, payments, metrics, lifetime):
-    """The declared tests of the staging and mart models."""
-    status = ("delivered", "shipped", "canceled", "unavailable", "invoiced", "processing",
-              "created", "approved")
-    return {
+# The order states that the staging model accepts.
+ORDER_STATES = ("delivered", "shipped", "canceled", "unavailable", "invoiced", "processing", "created", "approved")
+
+
+def mart_tests(raw_orders, raw_customers, orders, customers, payments, metrics, lifetime, sellers):
+    """All declared tests of sources, staging and mart models, as verdict rows.
+
+    Tests that look at single rows share one aggregate per frame; those that
+    compare rows find their violations apart.
+    """
+    def empty(*cols):
+        return {f"{c} not_null": F.col(c).isNull() for c in cols}
+
+    def outside(col, values):
+        return {f"{col} accepted": F.col(col).isNotNull() & ~F.col(col).isin(*values)}
+
+    by_row = {
+        "raw.orders": (raw_orders, empty("order_id")),
+        "raw.customers": (raw_customers, empty("customer_id")),
+        "stg_orders": (orders, empty("order_id", "customer_id") | outside("order_status", ORDER_STATES) | outside("is_late", (True, False))),
+        "stg_customers": (customers, empty("customer_id", "customer_unique_id")),
+        "stg_order_payments": (payments, empty("order_id", "total_payment_cents")),
+        "mart_customer_ltv": (lifetime, empty("customer_unique_id", "total_orders", "total_spent")
+                              | outside("value_segment", ("Bronze", "Silver", "Gold", "Platinum")) | outside("is_churned", (0, 1))),
+        "mart_order_metrics": (metrics, empty("order_id", "total_payment") | outside("is_late", (True, False))
+                               | {"is_late not_null": F.col("is_late").isNull() & (F.col("order_status") == "delivered")}),
+        "mart_seller_summary": (sellers, empty("seller_id", "total_orders", "total_revenue")),
+    }
+    between = {
+        "raw.orders.order_id unique": Q.not_unique(raw_orders, "order_id"),
         "stg_orders.order_id unique": Q.not_unique(orders, "order_id"),
-        "stg_orders.order_id not_null": Q.is_null(orders, "order_id"),
-        "stg_orders.customer_id not_null": Q.is_null(orders, "customer_id"),
-        "stg_orders.customer_id relationships": Q.orphans(
-            orders, "customer_id", customers, "customer_id"),
-        "stg_orders.order_status accepted": Q.not_accepted(orders, "order_status", status),
-        "stg_orders.is_late accepted": Q.not_accepted(
-            orders, "is_late", (True, False), where=F.col("is_late").isNotNull()),
+        "stg_orders.customer_id relationships": Q.orphans(orders, "customer_id", customers, "customer_id"),
         "stg_customers.customer_id unique": Q.not_unique(customers, "customer_id"),
-        "stg_customers.customer_unique_id not_null": Q.is_null(customers, "customer_unique_id"),
         "stg_order_payments.order_id unique": Q.not_unique(payments, "order_id"),
-        "stg_order_payments.total not_null": Q.is_null(payments, "total_payment_cents"),
-        "mart_order_metrics.order_id unique": Q.not_unique(metrics, "order_id"),
-        "mart_order_metrics.is_late not_null": Q.is_null(
-            metrics, "is_late", where=F.col("order_status") == "delivered"),
         "mart_customer_ltv.customer_unique_id unique": Q.not_unique(lifetime, "customer_unique_id"),
-        "mart_customer_ltv.total_spent not_null": Q.is_null(lifetime, "total_spent"),
-        "mart_customer_ltv.value_segment accepted": Q.not_accepted(
-            lifetime, "value_segment", ("Bronze", "Silver", "Gold", "Platinum")),
-        "mart_customer_ltv.is_churned accepted": Q.not_accepted(lifetime, "is_churned", (0, 1)),
+        "mart_order_metrics.order_id unique": Q.not_unique(metrics, "order_id"),
+        "mart_seller_summary.seller_id unique": Q.not_unique(sellers, "seller_id"),
     }
+    out = Q.run_tests(between)
+    for model, (frame, tests) in by_row.items():
+        out = out.unionByName(Q.count_violations(frame, {f"{model}.{name}": bad for name, bad in tests.items()}))
+    return out
 
 
 _T = "SELECT '{}' AS test_name, count(*) AS failures, count(*) = 0 AS passed FROM {}"
@@ -157,39 +173,48 @@ def _unique_sql(table, key):
     return f"(SELECT {key} FROM {table} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
 
 
-@query("dq_suite", twin("v_ltv v_order_metrics stg_payments stg_orders m_customers", " UNION ALL ".join(
-    _T.format(n, x) for n, x in {
+def _null_sql(model, table, *cols):
+    return {f"{model}.{c} not_null": f"{table} WHERE {c} IS NULL" for c in cols}
+
+
+_SUITE = (
+    _null_sql("raw.orders", "m_orders", "order_id") | _null_sql("raw.customers", "m_customers", "customer_id")
+    | _null_sql("stg_orders", "stg_orders", "order_id", "customer_id")
+    | _null_sql("stg_customers", "m_customers", "customer_id", "customer_unique_id")
+    | _null_sql("stg_order_payments", "stg_payments", "order_id", "total_payment_cents")
+    | _null_sql("mart_customer_ltv", "v_ltv", "customer_unique_id", "total_orders", "total_spent")
+    | _null_sql("mart_order_metrics", "v_order_metrics", "order_id", "total_payment", "is_late")
+    | _null_sql("mart_seller_summary", "v_seller_summary", "seller_id", "total_orders", "total_revenue")
+    | {
+        "raw.orders.order_id unique": _unique_sql("m_orders", "order_id"),
         "stg_orders.order_id unique": _unique_sql("stg_orders", "order_id"),
-        "stg_orders.order_id not_null": "stg_orders WHERE order_id IS NULL",
-        "stg_orders.customer_id not_null": "stg_orders WHERE customer_id IS NULL",
-        "stg_orders.customer_id relationships":
-            "stg_orders WHERE customer_id NOT IN (SELECT customer_id FROM m_customers)",
-        "stg_orders.order_status accepted": """stg_orders WHERE order_status NOT IN ('delivered',
-            'shipped', 'canceled', 'unavailable', 'invoiced', 'processing', 'created', 'approved')""",
+        "stg_orders.customer_id relationships": "stg_orders WHERE customer_id NOT IN (SELECT customer_id FROM m_customers)",
+        "stg_orders.order_status accepted": f"stg_orders WHERE order_status NOT IN {ORDER_STATES}",
         "stg_orders.is_late accepted": "stg_orders WHERE is_late NOT IN (true, false)",
         "stg_customers.customer_id unique": _unique_sql("m_customers", "customer_id"),
-        "stg_customers.customer_unique_id not_null":
-            "m_customers WHERE customer_unique_id IS NULL",
         "stg_order_payments.order_id unique": _unique_sql("stg_payments", "order_id"),
-        "stg_order_payments.total not_null": "stg_payments WHERE total_payment_cents IS NULL",
-        "mart_order_metrics.order_id unique": _unique_sql("v_order_metrics", "order_id"),
-        "mart_order_metrics.is_late not_null": "v_order_metrics WHERE is_late IS NULL",
         "mart_customer_ltv.customer_unique_id unique": _unique_sql("v_ltv", "customer_unique_id"),
-        "mart_customer_ltv.total_spent not_null": "v_ltv WHERE total_spent IS NULL",
-        "mart_customer_ltv.value_segment accepted":
-            "v_ltv WHERE value_segment NOT IN ('Bronze', 'Silver', 'Gold', 'Platinum')",
+        "mart_customer_ltv.value_segment accepted": "v_ltv WHERE value_segment NOT IN ('Bronze', 'Silver', 'Gold', 'Platinum')",
         "mart_customer_ltv.is_churned accepted": "v_ltv WHERE is_churned NOT IN (0, 1)",
-    }.items())))
+        "mart_order_metrics.order_id unique": _unique_sql("v_order_metrics", "order_id"),
+        "mart_order_metrics.is_late accepted": "v_order_metrics WHERE is_late NOT IN (true, false)",
+        "mart_seller_summary.seller_id unique": _unique_sql("v_seller_summary", "seller_id"),
+    })
+
+
+@query("dq_suite", twin("v_ltv v_order_metrics v_seller_summary stg_payments stg_orders m_orders m_customers",
+                        " UNION ALL ".join(_T.format(n, x) for n, x in _SUITE.items())))
 def q_dq_suite(spark, folder):
-    """Sixteen tests; each frame they share is staged once."""
+    """All thirty declared tests; each frame that several tests share is staged once."""
     m = market(spark, folder)
     facts = stage(m.order_facts())
     lifetime = stage(M.customer_ltv(facts, m.customers, last_purchase(m), LTV_CUTS)
-                     .select("customer_unique_id", "total_spent", "value_segment", "is_churned"))
+                     .select("customer_unique_id", "total_orders", "total_spent", "value_segment", "is_churned"))
     payments = facts.where(F.col("payment_installments").isNotNull()).select(
         "order_id", "total_payment_cents")
-    return Q.run_tests(mart_tests(facts, M.stg_customers(m.customers), payments,
-                                  M.order_metrics(facts, m.customers), lifetime))
+    sellers = stage(M.seller_summary(m.sellers, m.order_items, facts).select("seller_id", "total_orders", "total_revenue"))
+    return mart_tests(m.orders_undated, m.customers, facts, M.stg_customers(m.customers), payments,
+                      M.order_metrics(facts, m.customers), lifetime, sellers)
 
 
 _NUMERIC = {"int", "bigint", "double"}

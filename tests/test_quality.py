@@ -116,3 +116,11 @@ def test_failing_check_does_not_stop_the_others(spark):
         Q.Check("column", "t", F.max("nope"), 1), Q.Check("table", "u", F.count(F.lit(1)), 1)]).collect()}
     assert {n: r.status for n, r in got.items()} == {"rows": "PASS", "cast": "ERROR", "column": "ERROR", "table": "ERROR"}
     assert got["cast"].error == "CAST_INVALID_INPUT"
+
+
+def test_row_tests_share_one_aggregate(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "id bigint, v string")
+    out = Q.count_violations(df, {"id": F.col("id").isNull(), "v": ~F.col("v").isin("a"), "none": F.lit(False)})
+    assert sorted(tuple(r) for r in out.collect()) == [("id", 1, False), ("none", 0, True), ("v", 1, False)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Expand" not in plan
