@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaymart.functions import pct, rint_to
-from quaymart.operators.quantiles import exact_quantiles
+from quaymart.operators.quantiles import brackets, column_quantiles
+from quaymart.session import stage
 
 
 @dataclass(frozen=True)
@@ -156,9 +157,10 @@ def duplicate_rows(df: DataFrame) -> Column:
 def table_profile(df: DataFrame) -> DataFrame:
     """Per column: type, NULLs, and for numbers min, quartiles, max, mean, deviation.
 
-    One aggregate serves all columns; the quartiles take the two bounded passes
-    of ``exact_quantiles`` with the column name as group.
+    One aggregate serves all columns, with a bounded sketch for each number; a
+    second pass over the rows counts the values inside the sketched brackets.
     """
+    probs, accuracy = (0.25, 0.5, 0.75), 10_000
     fields = df.schema.fields
     numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
     aggs = [F.count(F.lit(1)).alias("__rows")]
@@ -168,7 +170,7 @@ def table_profile(df: DataFrame) -> DataFrame:
             v = F.col(f.name).cast("double")
             aggs += [F.min(v).alias(f"{f.name}__min"), F.max(v).alias(f"{f.name}__max"),
                      rint_to(F.avg(v), 4).alias(f"{f.name}__avg"),
-                     rint_to(F.stddev_samp(v), 4).alias(f"{f.name}__std")]
+                     rint_to(F.stddev_samp(v), 4).alias(f"{f.name}__std"), brackets(probs, accuracy, v).alias(f"{f.name}__brackets")]
     none = F.lit(None).cast("double")
     entries = [F.struct(
         F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
@@ -176,14 +178,12 @@ def table_profile(df: DataFrame) -> DataFrame:
         *[(F.col(f"{f.name}__{s}") if f.name in numeric else none).alias(n)
           for s, n in (("min", "min_value"), ("max", "max_value"), ("avg", "mean_value"),
                        ("std", "std_value"))]) for f in fields]
-    wide = df.agg(*aggs)
+    wide = stage(df.agg(*aggs))
     long = wide.select(F.col("__rows").alias("row_count"), F.explode(F.array(*entries)).alias("e"))
     long = long.select("e.*", "row_count").withColumn(
         "null_pct", pct("null_count", "row_count", 1))
-    cells = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
-        for c in numeric])).alias("c")).select("c.*")
-    quartiles = exact_quantiles(cells, "x", [0.25, 0.5, 0.75], ["column_name"]).select(
+    heads = wide.select(*[F.col(f"{c}__brackets").alias(c) for c in numeric]).first().asDict() if numeric else {}
+    quartiles = column_quantiles(df, heads, probs).select(
         "column_name", *[rint_to(F.col(f"q{i}"), 4).alias(n)
                          for i, n in enumerate(("q25", "q50", "q75"))])
     return (long.join(quartiles, "column_name", "left")

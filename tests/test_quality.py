@@ -124,3 +124,20 @@ def test_row_tests_share_one_aggregate(spark):
     assert sorted(tuple(r) for r in out.collect()) == [("id", 1, False), ("none", 0, True), ("v", 1, False)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1 and "Expand" not in plan
+
+
+def test_profile_scans_rows_not_cells(spark, monkeypatch):
+    """Many values in the brackets, ties, a constant and an empty column; the rows are not multiplied by the columns."""
+    from quaymart.operators import quantiles
+
+    df = spark.range(60_000).selectExpr("id", "pmod(xxhash64(id), 1L << 30) / 3.0D AS x", "id % 3 AS t", "7 AS one", "CAST(NULL AS int) AS none", "'s' AS s")
+    monkeypatch.setattr(quantiles, "ONE_TASK_VALUES", 100)
+    counted = []
+    whole = quantiles._running
+    monkeypatch.setattr(quantiles, "_running", lambda c, *rest: counted.append(c.count()) or whole(c, *rest))
+    got = {r.column_name: r for r in Q.table_profile(df).collect()}
+    want = df.agg(*[F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in ("id", "x", "t", "one")]).first()
+    for c in ("id", "x", "t", "one"):
+        assert [got[c].q25, got[c].q50, got[c].q75] == [round(v, 4) for v in want[c]]
+    assert got["none"].q50 is None and got["s"].q50 is None and got["none"].null_count == 60_000
+    assert 100 < counted[0] < 1_000
