@@ -127,6 +127,7 @@ def nearest(points: DataFrame, k: int, bucket_rows: int = BUCKET_ROWS, tables: i
     """
     points = stage(points.select("id", "x"))
     n = points.count()
+    bucket_rows = max(bucket_rows, 4 * k)        # a share dealt by hash must hold more than k rows
     if n <= 2 * bucket_rows:
         one = points.withColumns({"table": F.lit(0), "cell": F.lit(0), "share": F.lit(0), "ask": F.lit(True)})
         return _named(_first_k(_pairs(one, k), k), points)
