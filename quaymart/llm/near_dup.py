@@ -11,10 +11,11 @@ of ``ROWS`` slots miss a pair of similarity 0.75 with odds of 5e-6.
 
 Documents with equal sets fold to one representative first. In each bucket the
 members are compared with the bucket's least member only, on full sets; links
-are grouped; buckets that still hold several groups are then compared across
-groups, which completes what the star of the first round cannot see. Members
-whose elements rule out any link are left out of that (see ``_across``). No bucket, candidate or link is left out, and a bucket whose members are
-already one group costs nothing more.
+are grouped. Members of buckets that still hold several groups are compared
+with a typical member (see ``_references``), then across groups, which
+completes what the two stars cannot see; bounds rule out most of those pairs
+(see ``_across``). No bucket, candidate or link is left out, and a bucket whose
+members are already one group costs nothing more.
 
 Cases: NULL, empty or blank text has an empty set, is linked with nothing and
 is its own component. Repeated rows are copies. Rows that share an id are one
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaymart.llm.common import coded, hash_words, mix, pieces, words_of
@@ -184,10 +185,14 @@ def classes(docs: DataFrame) -> DataFrame:
     tried = stage(overlaps(members.filter("rep > lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), sets))
     links = stage(tried.filter(LINKED).select("a", "b").distinct().unionByName(_same_id(known, names)))
     ties = components(links)
-    rest = stage(_across(members, ties, tried, sets, sizes).join(tried, ["a", "b"], "left_anti"))
-    more = stage(overlaps(rest, sets).filter(LINKED).select("a", "b").distinct())
-    if not more.isEmpty():
-        ties = components(ties.select(F.col("v").alias("a"), F.col("u").alias("b")).unionByName(more))
+    placed = _placed(members, ties)
+    if not placed.isEmpty():
+        refs = stage(_references(placed, ties, sets))
+        seen = stage(overlaps(placed.join(refs, "lead").select(F.col("ref").alias("a"), F.col("rep").alias("b")).distinct(), sets))
+        ties = _joined(ties, seen.filter(LINKED).filter("a <> b").select("a", "b"))
+        done = tried.select("a", "b").unionByName(seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        rest = stage(_across(_placed(members, ties), refs, seen, sets, sizes).join(done, ["a", "b"], "left_anti"))
+        ties = _joined(ties, overlaps(rest, sets).filter(LINKED).select("a", "b"))
     rep_of = names.withColumnRenamed("name_a", "a").withColumnRenamed("name_b", "b")
     out = base.join(rep_of, (F.col("name_a") == F.col("a")) & (F.col("name_b") == F.col("b")) & F.col("doc_id").isNotNull(), "left")
     # Rows that share an id may have different sets, hence different representatives: take the least component.
@@ -220,42 +225,76 @@ def _mixed(placed: DataFrame) -> DataFrame:
     return placed.join(keys, "key")
 
 
+def _placed(members: DataFrame, ties: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component besides their lead, which has been compared with all."""
+    comp = F.coalesce("v", "rep").alias("comp")
+    return stage(_mixed(stage(members.filter("rep > lead").join(ties, F.col("rep") == F.col("u"), "left").select("key", "lead", "rep", comp))))
+
+
+def _joined(ties: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links."""
+    links = stage(links.distinct())
+    return ties if links.isEmpty() else components(ties.select(F.col("v").alias("a"), F.col("u").alias("b")).unionByName(links))
+
+
+def _held(sets: DataFrame, pool: DataFrame) -> DataFrame:
+    """One row per element of the documents of ``pool`` (rep)."""
+    chosen = sets.join(pool, F.col("doc_id") == F.col("rep")).select("doc_id", "elements")
+    return chosen.mapInArrow(_elements, "doc_id bigint, element bigint")
+
+
+def _references(placed: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
+    """``lead, ref``: the typical member for every lead of a mixed bucket, one for all leads of a component.
+
+    It is the member whose elements are held most often, on average: of many edited copies of a text, the one nearest
+    to the text. Any document may serve as a reference; a typical one leaves least to be compared.
+    """
+    held = stage(_held(sets, placed.select("rep").distinct()))
+    often = held.groupBy("element").agg(F.count("*").alias("often"))
+    score = held.join(often, "element").groupBy("doc_id").agg(F.avg("often").alias("score"))
+    home = placed.select("lead").distinct().join(ties, F.col("lead") == F.col("u"), "left").select("lead", F.coalesce("v", "lead").alias("home"))
+    best = (
+        placed.select("lead", "rep").distinct().join(home, "lead").join(score, F.col("rep") == F.col("doc_id"))
+        .groupBy("home").agg(F.max_by("rep", F.struct(F.col("score"), -F.col("rep"))).alias("ref"))
+    )
+    return home.join(best, "home").select("lead", "ref")
+
+
 def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For pairs of a lead (a, left) and a member (b, right): the member's elements that the lead lacks, as many in
-    hash order as a prefix filter needs. A link with anybody takes NUM/DEN of the member's elements, of which the lead
-    can give ``both``; the rest must be shared outside the lead, so all but (rest - 1) elements have to be tried."""
+    """For pairs of a reference (a, left) and a member (b, right): the member's elements that the reference lacks.
+
+    A link with anybody takes NUM/DEN of the member's elements, of which the reference can give ``both``; the others
+    must be shared outside it. So all but (others - 1) of the elements, whichever in a common order, have to be tried:
+    ``room`` says how many. ``part`` tells the texts of rows that share an id apart.
+    """
+    schema = pa.schema([("ref", pa.int64()), ("rep", pa.int64()), ("part", pa.int64()), ("room", pa.int64()), ("element", pa.int64())])
     for batch in batches:
-        leads, members, flat = [], [], []
-        for lead, member, (x, y) in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _both_sets(batch)):
+        for ref, member, (x, y) in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _both_sets(batch)):
             rest = y[~_inside(y, x)]
             need = max(1, -(-NUM * len(y) // DEN) - (len(y) - len(rest)))
-            rest = rest[: max(len(rest) - need + 1, 0)]
-            leads.append(np.full(len(rest), lead))
-            members.append(np.full(len(rest), member))
-            flat.append(rest)
-        if flat:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(leads), pa.int64()), pa.array(np.concatenate(members), pa.int64()),
-                                              pa.array(np.concatenate(flat).view(np.int64))], ["lead", "rep", "element"])
+            room = len(rest) - need + 1
+            part = xxhash.xxh3_64_intdigest(rest.tobytes()) - (1 << 63)
+            for at in range(0, len(rest) if room > 0 else 0, 1 << 20):
+                some = pa.array(rest[at:at + (1 << 20)].view(np.int64))
+                same = [pa.array(np.full(len(some), v), pa.int64()) for v in (ref, member, part, room)]
+                yield pa.RecordBatch.from_arrays([*same, some], schema=schema)
 
 
-def _across(members: DataFrame, ties: DataFrame, tried: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+def _across(placed: DataFrame, refs: DataFrame, seen: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs of one bucket that are in different components so far and may still be linked.
 
     A link needs an intersection of at least 3/7 of both sizes together (``LINKED``). Two exact bounds on it keep
     heavily edited copies in a large group, which share buckets with all of it, from being compared with all:
 
     - an element that no other member of a mixed bucket holds is in no intersection;
-    - an intersection has at most the smaller of what both share with the bucket's lead, plus what they share
-      outside it. So either the former is enough by itself, or both hold an element that the lead lacks, which an
-      index of those elements finds.
+    - an intersection has at most the smaller of what both share with a reference (``_references``), plus what they
+      share outside it. So either the former is enough by itself, or both hold an element that the reference lacks,
+      which an index of those elements finds: of each member only the rarest, as many as a link cannot do without.
     """
-    placed = members.filter("rep > lead").join(ties, F.col("rep") == F.col("u"), "left").select("key", "lead", "rep", F.coalesce("v", "rep").alias("comp"))
-    placed = stage(_mixed(stage(placed)))
     while True:
         pool = placed.select("rep").union(placed.select("lead")).distinct()
-        held = sets.join(pool, F.col("doc_id") == F.col("rep")).select("doc_id", "elements").mapInArrow(_elements, "doc_id bigint, element bigint")
         alone = (
-            held.groupBy("element").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("other")).filter("id = other")
+            _held(sets, pool).groupBy("element").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("other")).filter("id = other")
             .groupBy("id").agg(F.count("*").alias("alone"))
         )
         bound = stage(sizes.join(pool, F.col("doc_id") == F.col("rep")).groupBy("rep").agg(F.max("n_shingles").alias("n"))
@@ -279,14 +318,17 @@ def _across(members: DataFrame, ties: DataFrame, tried: DataFrame, sets: DataFra
         same = [rows[c] == other[c] for c in on]
         return rows.join(other, [*same, fit]).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
-    of_lead = tried.groupBy("a", "b").agg(F.max("both").alias("both"))
-    known = stage(left.join(of_lead, (F.col("lead") == F.col("a")) & (F.col("rep") == F.col("b"))).drop("a", "b"))
-    near_lead = pairs(known, ["key"], ["n", "most", "both"])
-    once = stage(known.select("lead", "rep", "comp", "n", "most").distinct())
-    extra = _with_sets(once.select(F.col("lead").alias("a"), F.col("rep").alias("b")), sets).select("a", "b", "left", "right")
-    extra = extra.mapInArrow(_outside, "lead bigint, rep bigint, element bigint")
-    indexed = stage(extra.join(once, ["lead", "rep"]).distinct())
-    return near_lead.unionByName(pairs(indexed, ["lead", "element"], ["n", "most"])).distinct()
+    shared = seen.groupBy("a", "b").agg(F.max("both").alias("both"))
+    known = stage(left.join(refs, "lead").join(shared, (F.col("ref") == F.col("a")) & (F.col("rep") == F.col("b"))).drop("a", "b"))
+    near_ref = pairs(known, ["key"], ["n", "most", "both"])
+    once = stage(known.select("ref", "rep", "comp", "n", "most").distinct())
+    often = _held(sets, once.select("rep").distinct()).groupBy("element").agg(F.count("*").alias("often")).filter("often > 1")
+    extra = _with_sets(once.select(F.col("ref").alias("a"), F.col("rep").alias("b")), sets).select("a", "b", "left", "right")
+    extra = extra.mapInArrow(_outside, "ref bigint, rep bigint, part bigint, room bigint, element bigint").distinct()
+    rare = Window.partitionBy("ref", "rep", "part", "room").orderBy(F.coalesce("often", F.lit(1)), "element")
+    tight = extra.join(often, "element", "left").withColumn("place", F.row_number().over(rare)).filter("place <= room and often > 1")
+    indexed = stage(tight.select("ref", "rep", "element").distinct().join(once, ["ref", "rep"]))
+    return near_ref.unionByName(pairs(indexed, ["ref", "element"], ["n", "most"])).distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
