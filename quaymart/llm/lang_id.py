@@ -213,15 +213,17 @@ def train(docs: DataFrame, learn: Column | None = None, per_language: int = PER_
     """A model from (text, lang) of the rows that ``learn`` allows; the sample is bounded per language."""
     rows = docs if learn is None else docs.filter(learn)
     rows = rows.filter(F.col("lang").isNotNull()).select("lang", "text")
-    # Only about twice the sample goes to the window: rows whose hash is below the share that this is of the language.
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * per_language / F.count("*")).alias("share"))
+    # Only about twice the sample goes to the window: texts whose hash is below the share that this is of the language.
+    # Copies are one text, in the share and in the sample; all copies of a text have one hash and would come together.
+    texts = rows.select("lang", F.xxhash64("text", "lang").alias("h")).distinct()
+    share = texts.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * per_language / F.count("*")).alias("share"))
     part = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     # One row per language, of which the model itself holds DIM numbers: far smaller than the model that is broadcast below.
     share = F.broadcast(share.withColumnRenamed("lang", "_lang"))
-    few = rows.join(share, F.col("lang") == F.col("_lang")).filter(part < F.col("share"))
+    few = rows.join(share, F.col("lang") == F.col("_lang")).filter(part < F.col("share")).select("lang", "text").distinct()
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text", "lang"), "text")
     rows = (
-        few.filter(F.col("text").rlike(r"\p{L}")).select("lang", "text")
+        few.filter(F.col("text").rlike(r"\p{L}"))
         .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).drop("_n")
     )
     found = rows.mapInArrow(_profile_rows, "lang string, profile binary").toArrow()

@@ -54,3 +54,14 @@ def test_sample_is_bounded(spark):
     model = lang_id.train(df, per_language=50)
     assert model.predict(pa.array(["zzz yyy", "abc ab"], pa.string()))[0] == ["y", "x"]
     assert pytest.approx(1.0, abs=1.0) == model.predict(pa.array(["zzz yyy"], pa.string()))[1][0]
+
+
+@pytest.mark.parametrize("copy", ["eins zwei drei vier", "das ist ein satz", "noch ein anderer text"])
+def test_copies_do_not_fill_the_sample(spark, copy):
+    """A text counts once, however often it is repeated: the other texts of its language are learned."""
+    rnd = random.Random(2)
+    de, en = "der die das und nicht auch wird sind".split(), "the and that with have this from they".split()
+    rows = [(" ".join(rnd.choice(en) for _ in range(12)), "en") for _ in range(60)]
+    rows += [(" ".join(rnd.choice(de) for _ in range(12)), "de") for _ in range(60)] + [(copy, "de")] * 5000
+    model = lang_id.train(spark.createDataFrame(rows, "text string, lang string").repartition(4), per_language=40)
+    assert model.predict(pa.array(["die und nicht auch wird", "that with have this"], pa.string()))[0] == ["de", "en"]
