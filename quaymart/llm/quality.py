@@ -210,7 +210,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     chosen = usable.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_class).select("doc_id", "y")
     # At most per_class rows of two classes: a bounded broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(_feature_rows, "doc_id bigint, y int, x binary")
-    found = sorted(((i, y, x) for i, y, x in zip(*[rows.toArrow().column(c).to_pylist() for c in ("doc_id", "y", "x")])) if counts else [])
+    sample = rows.toArrow() if counts else None  # once: another run may bring the rows in another order
+    found = sorted(zip(*[sample.column(c).to_pylist() for c in ("doc_id", "y", "x")])) if sample else []
     if not found:
         return Model(np.zeros(DIM), 0.0, 1.0, 0.0, trained=False)
     x = np.stack([np.frombuffer(r[2], np.float32) for r in found])
