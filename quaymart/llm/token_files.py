@@ -4,7 +4,7 @@ Documents are put in ascending id order over files. A file holds all ids of
 its documents, one after the other, in blocks of ``BLOCK`` ids; each id takes
 the bits that the vocabulary's largest id needs. Layout, little-endian:
 
-    magic "QBP1", bits u32, ids in all u64, documents u64, blocks u64
+    magic "QBP2", bits u32, ids in all u64, documents u64, blocks u64, documents without an id u64
     block offsets      u64 x (blocks + 1), bytes from the start of the data
     document ids       i64 x documents
     document bounds    u64 x (documents + 1), ids before each document
@@ -23,9 +23,8 @@ there, so ids of the units in order are the ids of the text. Every distinct
 unit of a batch goes to the tokenizer once.
 
 Cases: NULL text is empty and has the end id only. Rows that share an id
-follow each other, ordered by text. NULL ids come first and
-are stored as -1. An empty table writes
-no file. A text longer than a piece is one piece. Other columns are ignored.
+follow each other, ordered by text. NULL ids come first; the head of a file
+counts them, and they are NULL again when read. An empty table writes no file. A text longer than a piece is one piece. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,15 +46,17 @@ from pyspark.sql import functions as F
 from quaymart.llm.common import coded, pieces, plain
 from quaymart.session import scratch_path, stage
 
-MAGIC = b"QBP1"
-HEAD = "<4sIQQQ"
+MAGIC = b"QBP2"
+HEAD = "<4sIQQQQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK = 4096
 FILE_BYTES = 64 << 20
 # Bytes of text looked at together: fewer passes over the table of units.
-TASK_PIECE = 8 << 20
+TASK_PIECE = 6 << 20
 END_ID = 2
 KNOWN_UNITS = 800_000
+# Units that the tokenizer gets in one call.
+AT_ONCE = 5_000
 _CUT = "\0"
 _ODD = r"(?:^|\s) | (?:\s|$)"
 _BETWEEN = re.compile(r"(?<=\S)(?= \S)")
@@ -86,10 +87,12 @@ class FileWriter:
     """Collects documents in order; ids are packed as soon as a block is full, so memory holds packed bytes only."""
 
     def __init__(self, bits: int):
-        self.bits, self.blocks, self.open, self.docs, self.bounds = bits, [], np.zeros(0, np.uint32), [], [0]
+        self.bits, self.blocks, self.open, self.docs, self.bounds, self.unnamed = bits, [], np.zeros(0, np.uint32), [], [0], 0
 
-    def add(self, docs: list[int], lengths: np.ndarray, ids: np.ndarray) -> None:
-        self.docs += docs
+    def add(self, docs: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> None:
+        """Documents in ascending order of their ids, those without one first."""
+        self.unnamed += docs.count(None)
+        self.docs += [0 if d is None else d for d in docs]
         self.bounds += (self.bounds[-1] + np.cumsum(lengths)).tolist()
         ids = np.concatenate([self.open, ids])
         full = len(ids) // BLOCK * BLOCK
@@ -101,7 +104,7 @@ class FileWriter:
         blocks = self.blocks + ([pack(self.open, self.bits)] if len(self.open) else [])
         offsets = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8")
         with where.open_output_stream(path) as out:
-            out.write(struct.pack(HEAD, MAGIC, self.bits, self.bounds[-1], len(self.docs), len(blocks)))
+            out.write(struct.pack(HEAD, MAGIC, self.bits, self.bounds[-1], len(self.docs), len(blocks), self.unnamed))
             out.write(offsets.tobytes())
             out.write(np.array(self.docs, "<i8").tobytes())
             out.write(np.array(self.bounds, "<u8").tobytes())
@@ -115,7 +118,7 @@ class FileReader:
 
     def __init__(self, where: fs.FileSystem, path: str):
         self.file = where.open_input_file(path)
-        magic, self.bits, self.count, docs, blocks = struct.unpack(HEAD, self.file.read(HEAD_BYTES))
+        magic, self.bits, self.count, docs, blocks, self.unnamed = struct.unpack(HEAD, self.file.read(HEAD_BYTES))
         if magic != MAGIC:
             raise ValueError(f"{path} is no token file")
         self.offsets = np.frombuffer(self.file.read(8 * (blocks + 1)), "<u8")
@@ -138,7 +141,7 @@ class FileReader:
             at += size
         return np.concatenate(out)[start - first * BLOCK: stop - first * BLOCK]
 
-    def documents(self, step: int = 256 * BLOCK) -> Iterator[tuple[int, int, np.ndarray]]:
+    def documents(self, step: int = 256 * BLOCK) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """(document id, ids before it, its ids), reading about ``step`` ids at a time."""
         n, at = len(self.docs), 0
         while at < n:
@@ -146,7 +149,7 @@ class FileReader:
             ids = self.ids(int(self.bounds[at]), int(self.bounds[to]))
             for k in range(at, to):
                 a, b = self.bounds[k] - self.bounds[at], self.bounds[k + 1] - self.bounds[at]
-                yield int(self.docs[k]), int(self.bounds[k]), ids[a:b]
+                yield int(self.docs[k]) if k >= self.unnamed else None, int(self.bounds[k]), ids[a:b]
             at = to
 
 
@@ -160,42 +163,57 @@ class UnitEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        # Row k of the table are the ids of unit k - 1; row 0 is the end of a text.
+        self.known = pa.array([], pa.large_string())
         self.flat, self.lengths = [np.zeros(1, np.uint32)], [np.ones(1, np.int32)]
 
-    def _units(self, text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    def _units(self, text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The units of all texts in any order, where each text's begin among them, and how many it has."""
         odd = pc.or_(pc.match_substring_regex(text, _ODD), pc.match_substring(text, _CUT)).to_numpy(zero_copy_only=False)
-        # White space beyond ASCII, and special tokens in a text, are left to the rule below and the whole-text path.
-        plain_rows = ~odd
-        cut = pc.replace_substring(text, " ", _CUT + " ")
+        # White space beyond ASCII is part of a unit; only odd rows need the rule character by character.
+        parts = pc.split_pattern(pc.replace_substring(text.filter(pa.array(~odd)), " ", _CUT + " "), _CUT)
+        units, begins, counts = parts.flatten(), np.zeros(len(text), np.int64), np.zeros(len(text), np.int64)
+        offsets = np.asarray(parts.offsets, np.int64)
+        begins[~odd], counts[~odd] = offsets[:-1] - offsets[0], np.diff(offsets)
         if odd.any():
-            parts = [x.split(_CUT) if ok else _BETWEEN.split(raw) for ok, x, raw in zip(plain_rows.tolist(), cut.to_pylist(), text.to_pylist())]
-            return (pa.array([u for x in parts for u in x], pa.large_string()),
-                    np.concatenate([[0], np.cumsum([len(x) for x in parts])]))
-        parts = pc.split_pattern(cut, _CUT)
-        return parts.flatten(), np.asarray(parts.offsets, np.int64) - parts.offsets[0].as_py()
+            rest, some, at = [units], [], len(units)
+            for row in np.flatnonzero(odd).tolist():
+                mine = _BETWEEN.split(text[row].as_py())
+                begins[row], counts[row] = at, len(mine)
+                at += len(mine)
+                some += mine
+                if len(some) > 100_000:
+                    rest.append(pa.array(some, pa.large_string()))
+                    some = []
+            units = pa.concat_arrays([*rest, pa.array(some, pa.large_string())])
+        return units, begins, counts
 
     def encode(self, text: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids begin (one more at the end); ``end_id`` closes each text."""
         if len(self.known) > KNOWN_UNITS:
             self._forget()
-        units, begins = self._units(plain(text))
+        units, at, counts = self._units(plain(text))
         numbers, distinct = coded(units)
-        distinct = distinct.to_pylist()
-        known = self.known
-        fresh = [u for u in distinct if u not in known]
-        if fresh:
-            known.update(zip(fresh, range(len(known) + 1, len(known) + 1 + len(fresh))))
-            for a in range(0, len(fresh), 20_000):
-                found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh[a:a + 20_000], add_special_tokens=False)]
+        del units
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        numbers = numbers[np.arange(begins[-1]) + np.repeat(at - begins[:-1], counts)]
+        distinct = distinct.cast(pa.large_string())
+        rows = pc.index_in(distinct, value_set=self.known)
+        fresh = distinct.filter(pc.is_null(rows))
+        if len(fresh):
+            seen = len(self.known)
+            self.known = pa.concat_arrays([self.known, fresh])
+            rows = rows.to_numpy(zero_copy_only=False)
+            rows[np.isnan(rows)] = np.arange(seen, seen + len(fresh))
+            for a in range(0, len(fresh), AT_ONCE):
+                found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh[a:a + AT_ONCE].to_pylist(), add_special_tokens=False)]
                 self.flat.append(np.array(list(chain.from_iterable(found)), np.uint32))
                 self.lengths.append(np.array(list(map(len, found)), np.int32))
             self.flat, self.lengths = [np.concatenate(self.flat)], [np.concatenate(self.lengths)]
         starts = np.concatenate([[0], np.cumsum(self.lengths[0])]).astype(np.int32)
         table = pa.ListArray.from_arrays(pa.array(starts), pa.array(self.flat[0]))
-        which = np.array([known[u] for u in distinct], np.int64)[numbers]
+        which = (np.asarray(rows).astype(np.int64) + 1)[numbers]
         if end_id is not None:
-            # Unit 0 is the end of a text.
             self.flat[0][0] = end_id
             which = np.insert(which, begins[1:], 0)
             begins = begins + np.arange(len(begins))
@@ -236,7 +254,7 @@ def write(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID, folder: st
             encoder = encoder or UnitEncoder(shared.value)
             for part in pieces(batch, most=TASK_PIECE):
                 ids, begins = encoder.encode(part.column("text"), end_id)
-                out.add(pc.fill_null(part.column("doc_id"), -1).to_pylist(), np.diff(begins), ids)
+                out.add(part.column("doc_id").to_pylist(), np.diff(begins), ids)
         if out.docs:
             name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.qbp"
             fs_, root_ = _open(folder)

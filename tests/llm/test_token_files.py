@@ -55,3 +55,24 @@ def test_files(spark, wide, rows, empty):
             b = rnd.randrange(a, reader.count + 1)
             assert (reader.ids(a, b) == whole[a:b]).all()
     assert token_files.read_back(spark, token_files.write(empty, JSON, files=2)).count() == 0
+
+
+def test_missing_ids(spark):
+    """A missing id comes first and stays missing; -1 is an id like any other."""
+    df = spark.createDataFrame([(-1, "a b"), (None, "c"), (-7, "d"), (0, None), (None, "e f g")], "doc_id bigint, text string")
+    got = token_files.read_back(spark, token_files.write(df, JSON, files=2)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, -7, -1, 0]
+    assert got[-1].n_tokens == 1
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(5)]
+
+
+def test_units_forgotten(monkeypatch):
+    """Ids do not depend on what the encoder has met before or has forgotten."""
+    monkeypatch.setattr(token_files, "KNOWN_UNITS", 20)
+    monkeypatch.setattr(token_files, "AT_ONCE", 3)
+    tokenizer, encoder, rnd = Tokenizer.from_str(JSON), token_files.UnitEncoder(JSON), random.Random(4)
+    for _ in range(12):
+        texts = [" ".join(f"unit{rnd.randrange(40)}" for _ in range(rnd.randrange(9))) + rnd.choice(["", "  x", "\ty "]) for _ in range(6)]
+        ids, begins = encoder.encode(pa.array(texts, pa.large_string()), 2)
+        want = [[*e.ids, 2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == want
