@@ -61,9 +61,9 @@ def apply_snapshot(history: DataFrame, source: DataFrame, key: str, check: Seque
 
 
 def row_hash(columns: Sequence[str]) -> Column:
-    """One hash of the checked columns; NULL differs from every value."""
+    """One hash of the checked columns, as 32 bytes; NULL differs from every value."""
     marked = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns]
-    return F.sha2(F.to_json(F.array(*marked)).cast("binary"), 256)
+    return F.unhex(F.sha2(F.to_json(F.array(*marked)).cast("binary"), 256))
 
 
 class SnapshotStore:
@@ -110,7 +110,10 @@ class SnapshotStore:
         if state["last"] is not None and at.isoformat() <= state["last"]:
             raise ValueError(f"the last visit was at {state['last']}, this one is at {at.isoformat()}")
         folder = f"{self.path}/visit-{uuid.uuid4().hex}"
-        seen = source.withColumn("__hash", row_hash(self.check))
+        hashed = row_hash(self.check)
+        if state["version"] and T.StructType.fromJson(state["schema"])["__hash"].dataType == T.StringType():
+            hashed = F.lower(F.hex(hashed))             # a store that began with hashes as text keeps them
+        seen = source.withColumn("__hash", hashed)
         when = F.lit(at).cast("timestamp_ntz")
         if state["version"]:
             open_ = self._started(state).select(self.key, VALID_FROM, "__hash").join(self._ended(state), self._same_version(), "left_anti")

@@ -84,3 +84,19 @@ def test_visits_read_only_key_start_and_hash(spark):
     state = store._state()
     open_ = store._started(state).select("id", H.VALID_FROM, "__hash").join(store._ended(state), store._same_version(), "left_anti")
     assert "note" not in plan_of(open_)
+
+
+def test_hashes_are_bytes_and_text_stores_go_on(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(i, "a", None, "") for i in range(4)], COLUMNS)
+    store = H.SnapshotStore(spark, scratch_path(spark, "store"), "id", ["status"])
+    store.visit(rows, D(2021, 1, 1))
+    assert {len(bytes(r[0])) for r in store._started(store._state()).select("__hash").collect()} == {32}
+    old = H.SnapshotStore(spark, scratch_path(spark, "store"), "id", ["status"])
+    with monkeypatch.context() as before:
+        plain = H.row_hash
+        before.setattr(H, "row_hash", lambda cols: F.lower(F.hex(plain(cols))))
+        old.visit(rows, D(2021, 1, 1))
+    folder = old.visit(spark.createDataFrame([(i, "b" if i == 3 else "a", None, "") for i in range(4)], COLUMNS), D(2021, 1, 2))
+    assert [r.id for r in spark.read.parquet(f"{folder}/started").collect()] == [3] and old.history().count() == 5
