@@ -11,10 +11,12 @@ of ``ROWS`` slots miss a pair of similarity 0.75 with odds of 5e-6.
 
 Documents with equal sets fold to one representative first. In each bucket the
 members are compared with the bucket's least member only, on full sets; links
-are grouped. Members of buckets that still hold several groups are compared
-with a typical member (see ``_references``), then across groups, which
-completes what the two stars cannot see; bounds rule out most of those pairs
-(see ``_across``). No bucket, candidate or link is left out, and a bucket whose
+are grouped. Members of buckets that still hold several groups are told by how
+they differ from the elements that most of them hold (see ``_apart``): the
+least different one takes in all that are linked with it for certain, and of
+the others only those are compared whose differences can share enough for a
+link (see ``_across``). Both are exact.
+No bucket, candidate or link is left out, and a bucket whose
 members are already one group costs nothing more.
 
 Cases: NULL, empty or blank text has an empty set, is linked with nothing and
@@ -181,17 +183,14 @@ def classes(docs: DataFrame) -> DataFrame:
     involved = members.select("rep").distinct()
     sets = stage(docs.select("doc_id", "text").join(involved.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"))
                  .select("doc_id", "text").mapInArrow(_sets, "doc_id bigint, elements binary"))
-    sizes = stage(known.join(involved, F.col("doc_id") == F.col("rep")).select("doc_id", "n_shingles").distinct())
     tried = stage(overlaps(members.filter("rep > lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), sets))
     links = stage(tried.filter(LINKED).select("a", "b").distinct().unionByName(_same_id(known, names)))
     ties = components(links)
     placed = _placed(members, ties)
     if not placed.isEmpty():
-        refs = stage(_references(placed, ties, sets))
-        seen = stage(overlaps(placed.join(refs, "lead").select(F.col("ref").alias("a"), F.col("rep").alias("b")).distinct(), sets))
-        ties = _joined(ties, seen.filter(LINKED).filter("a <> b").select("a", "b"))
-        done = tried.select("a", "b").unionByName(seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        rest = stage(_across(_placed(members, ties), refs, seen, sets, sizes).join(done, ["a", "b"], "left_anti"))
+        apart = stage(_apart(placed, ties, sets))
+        ties = _joined(ties, overlaps(_sure(apart), sets).filter(LINKED).select("a", "b"))
+        rest = stage(_across(apart, ties).join(tried.select("a", "b"), ["a", "b"], "left_anti"))
         ties = _joined(ties, overlaps(rest, sets).filter(LINKED).select("a", "b"))
     rep_of = names.withColumnRenamed("name_a", "a").withColumnRenamed("name_b", "b")
     out = base.join(rep_of, (F.col("name_a") == F.col("a")) & (F.col("name_b") == F.col("b")) & F.col("doc_id").isNotNull(), "left")
@@ -212,11 +211,11 @@ def _same_id(known: DataFrame, names: DataFrame) -> DataFrame:
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("elements")]
-        ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(s) for s in sets])
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        for a in range(0, len(flat), 1 << 20):
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a:a + (1 << 20)], pa.int64()), pa.array(flat[a:a + (1 << 20)])], ["doc_id", "element"])
+        for part in pieces(batch, "elements"):
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("elements")]
+            sizes = [len(s) for s in sets]
+            home, crowd = [pa.array(np.repeat(part.column(c).to_numpy(zero_copy_only=False), sizes), pa.int64()) for c in ("home", "crowd")]
+            yield pa.RecordBatch.from_arrays([home, crowd, pa.array(np.concatenate(sets))], ["home", "crowd", "element"])
 
 
 def _mixed(placed: DataFrame) -> DataFrame:
@@ -237,98 +236,95 @@ def _joined(ties: DataFrame, links: DataFrame) -> DataFrame:
     return ties if links.isEmpty() else components(ties.select(F.col("v").alias("a"), F.col("u").alias("b")).unionByName(links))
 
 
-def _held(sets: DataFrame, pool: DataFrame) -> DataFrame:
-    """One row per element of the documents of ``pool`` (rep)."""
-    chosen = sets.join(pool, F.col("doc_id") == F.col("rep")).select("doc_id", "elements")
-    return chosen.mapInArrow(_elements, "doc_id bigint, element bigint")
+_APART = "home bigint, rep bigint, part bigint, comp bigint, n bigint, excess bigint, element bigint"
 
 
-def _references(placed: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
-    """``lead, ref``: the typical member for every lead of a mixed bucket, one for all leads of a component.
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The elements that either a member or its home's middle has, after one row without an element.
 
-    It is the member whose elements are held most often, on average: of many edited copies of a text, the one nearest
-    to the text. Any document may serve as a reference; a typical one leaves least to be compared.
+    ``part`` tells the texts of rows that share an id apart.
+    """
+    for batch in batches:
+        for some in pieces(batch, "elements"):
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in some.column("elements")]
+            found = [np.setxor1d(x, y.values.to_numpy(), assume_unique=True) for x, y in zip(sets, some.column("middle"))]
+            rows = np.array([len(d) + 1 for d in found], np.int64)
+            n, d = np.array([len(x) for x in sets], np.int64), rows - 1
+            part = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in sets], np.int64)
+            element = np.concatenate([x for d in found for x in (np.zeros(1, np.int64), d)])
+            none = np.zeros(len(element), bool)
+            none[np.cumsum(rows) - rows] = True
+            ids = [some.column(c).to_numpy(zero_copy_only=False) for c in ("home", "rep", "comp")]
+            home, rep, comp, part, n, excess = [np.repeat(c, rows) for c in (*ids, part, n, (NUM + DEN) * d - (DEN - NUM) * n)]
+            for at in range(0, len(element), 1 << 20):
+                cut = slice(at, at + (1 << 20))
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(c[cut], pa.int64()) for c in (home, rep, part, comp, n, excess)], pa.array(element[cut], mask=none[cut])],
+                    ["home", "rep", "part", "comp", "n", "excess", "element"])
+
+
+def _apart(placed: DataFrame, ties: DataFrame, sets: DataFrame) -> DataFrame:
+    """How members of mixed buckets differ from the middle of their home: a row per member and one per element.
+
+    The home of a bucket is the component of its lead, its middle the set of the elements that more than half of the
+    home's members hold: of many edited copies of a text, about the text itself, though nobody may have it unedited.
+
+    Let d elements be in one of a member's set of n and the middle only. Two sets are linked when at most (n1 + n2) *
+    (DEN - NUM) / (DEN + NUM) elements are in one of them only, and that number is d1 + d2 - 2 * (the elements which
+    are in both differences). So with ``excess`` = (NUM + DEN) * d - (DEN - NUM) * n, two members are linked exactly
+    when their differences share at least (excess1 + excess2) / (2 * (NUM + DEN)) elements.
     """
-    held = stage(_held(sets, placed.select("rep").distinct()))
-    often = held.groupBy("element").agg(F.count("*").alias("often"))
-    score = held.join(often, "element").groupBy("doc_id").agg(F.avg("often").alias("score"))
     home = placed.select("lead").distinct().join(ties, F.col("lead") == F.col("u"), "left").select("lead", F.coalesce("v", "lead").alias("home"))
-    best = (
-        placed.select("lead", "rep").distinct().join(home, "lead").join(score, F.col("rep") == F.col("doc_id"))
-        .groupBy("home").agg(F.max_by("rep", F.struct(F.col("score"), -F.col("rep"))).alias("ref"))
-    )
-    return home.join(best, "home").select("lead", "ref")
+    pool = stage(placed.select("lead", "rep", "comp").distinct().join(home, "lead").select("home", "rep", "comp").distinct())
+    full = pool.join(sets, F.col("rep") == F.col("doc_id"))
+    crowd = stage(pool.join(sets.select("doc_id"), F.col("rep") == F.col("doc_id")).groupBy("home").agg(F.count("*").alias("crowd")))
+    # Each element brings the crowd along, so that only those of the middle travel to their home.
+    held = full.join(crowd, "home").select("home", "crowd", "elements").mapInArrow(_elements, "home bigint, crowd bigint, element bigint")
+    often = held.groupBy("home", "crowd", "element").agg(F.count("*").alias("often")).filter("often * 2 > crowd")
+    middle = stage(stage(often.select("home", "element")).groupBy("home").agg(F.collect_list("element").alias("middle")))
+    beside = full.join(middle, "home", "left").withColumn("middle", F.coalesce("middle", F.array().cast("array<bigint>")))
+    return beside.select("home", "rep", "comp", "elements", "middle").mapInArrow(_differences, _APART)
 
 
-def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For pairs of a reference (a, left) and a member (b, right): the member's elements that the reference lacks.
+def _sure(apart: DataFrame) -> DataFrame:
+    """The pairs of each home's least different member with all that its difference alone shows to be linked with it.
 
-    A link with anybody takes NUM/DEN of the member's elements, of which the reference can give ``both``; the others
-    must be shared outside it. So all but (others - 1) of the elements, whichever in a common order, have to be tried:
-    ``room`` says how many. ``part`` tells the texts of rows that share an id apart.
+    All pairs without any need to share differences are linked through that member, too.
     """
-    schema = pa.schema([("ref", pa.int64()), ("rep", pa.int64()), ("part", pa.int64()), ("room", pa.int64()), ("element", pa.int64())])
-    for batch in batches:
-        for ref, member, (x, y) in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _both_sets(batch)):
-            rest = y[~_inside(y, x)]
-            need = max(1, -(-NUM * len(y) // DEN) - (len(y) - len(rest)))
-            room = len(rest) - need + 1
-            part = xxhash.xxh3_64_intdigest(rest.tobytes()) - (1 << 63)
-            for at in range(0, len(rest) if room > 0 else 0, 1 << 20):
-                some = pa.array(rest[at:at + (1 << 20)].view(np.int64))
-                same = [pa.array(np.full(len(some), v), pa.int64()) for v in (ref, member, part, room)]
-                yield pa.RecordBatch.from_arrays([*same, some], schema=schema)
-
-
-def _across(placed: DataFrame, refs: DataFrame, seen: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs of one bucket that are in different components so far and may still be linked.
-
-    A link needs an intersection of at least 3/7 of both sizes together (``LINKED``). Two exact bounds on it keep
-    heavily edited copies in a large group, which share buckets with all of it, from being compared with all:
-
-    - an element that no other member of a mixed bucket holds is in no intersection;
-    - an intersection has at most the smaller of what both share with a reference (``_references``), plus what they
-      share outside it. So either the former is enough by itself, or both hold an element that the reference lacks,
-      which an index of those elements finds: of each member only the rarest, as many as a link cannot do without.
+    each = apart.filter("element is null")
+    best = stage(each.groupBy("home").agg(F.min(F.struct("excess", "rep", "comp")).alias("best")))
+    near = each.join(best, "home").filter("comp <> best.comp and excess + best.excess <= 0")
+    return near.select(F.least("rep", "best.rep").alias("a"), F.greatest("rep", "best.rep").alias("b")).distinct()
+
+
+def _across(apart: DataFrame, ties: DataFrame) -> DataFrame:
+    """Pairs of a home that are in different components so far and may still be linked.
+
+    Their differences must share elements (see ``_apart``), and only elements that members of several components have
+    in their differences count. With these in a common order, the rarest first, a member shares at most as many as
+    follow the first shared one: this is asked of each element against the least excess in any other component,
+    which leaves a few elements of most members to be indexed, and then of each pair that meets at one.
     """
-    while True:
-        pool = placed.select("rep").union(placed.select("lead")).distinct()
-        alone = (
-            _held(sets, pool).groupBy("element").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("other")).filter("id = other")
-            .groupBy("id").agg(F.count("*").alias("alone"))
-        )
-        bound = stage(sizes.join(pool, F.col("doc_id") == F.col("rep")).groupBy("rep").agg(F.max("n_shingles").alias("n"))
-                      .join(alone, F.col("rep") == F.col("id"), "left")
-                      .select(F.col("rep").alias("of"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
-                      .filter(F.col("most") * DEN >= F.col("n") * NUM))
-        left = stage(_mixed(stage(placed.join(bound, F.col("rep") == F.col("of")).select("key", "lead", "rep", "comp", "n", "most"))))
-        # Those that are out may have held the only copies of an element: look again while many leave.
-        before, after = placed.count(), left.count()
-        if after * 10 >= before * 9:
-            break
-        placed = stage(left.select("key", "lead", "rep", "comp"))
-
-    def pairs(rows: DataFrame, on: list[str], bounds: list[str]) -> DataFrame:
-        other = rows.select(*on, *[F.col(c).alias(f"{c}_b") for c in ("rep", "comp", *bounds)])
-        need = (F.col("n") + F.col("n_b")) * NUM
-        fit = (F.col("rep") < F.col("rep_b")) & (F.col("comp") != F.col("comp_b"))
-        fit &= F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM
-        for c in bounds[1:]:
-            fit &= F.least(c, f"{c}_b") * (NUM + DEN) >= need
-        same = [rows[c] == other[c] for c in on]
-        return rows.join(other, [*same, fit]).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
-
-    shared = seen.groupBy("a", "b").agg(F.max("both").alias("both"))
-    known = stage(left.join(refs, "lead").join(shared, (F.col("ref") == F.col("a")) & (F.col("rep") == F.col("b"))).drop("a", "b"))
-    near_ref = pairs(known, ["key"], ["n", "most", "both"])
-    once = stage(known.select("ref", "rep", "comp", "n", "most").distinct())
-    often = _held(sets, once.select("rep").distinct()).groupBy("element").agg(F.count("*").alias("often")).filter("often > 1")
-    extra = _with_sets(once.select(F.col("ref").alias("a"), F.col("rep").alias("b")), sets).select("a", "b", "left", "right")
-    extra = extra.mapInArrow(_outside, "ref bigint, rep bigint, part bigint, room bigint, element bigint").distinct()
-    rare = Window.partitionBy("ref", "rep", "part", "room").orderBy(F.coalesce("often", F.lit(1)), "element")
-    tight = extra.join(often, "element", "left").withColumn("place", F.row_number().over(rare)).filter("place <= room and often > 1")
-    indexed = stage(tight.select("ref", "rep", "element").distinct().join(once, ["ref", "rep"]))
-    return near_ref.unionByName(pairs(indexed, ["ref", "element"], ["n", "most"])).distinct()
+    rows = stage(apart.drop("comp").join(ties, F.col("rep") == F.col("u"), "left").withColumn("comp", F.coalesce("v", "rep")).drop("u", "v"))
+    each = rows.filter("element is null").groupBy("home", "comp").agg(F.min("excess").alias("excess"))
+    first = stage(each.groupBy("home").agg(F.min(F.struct("excess", "comp")).alias("first")))
+    other = each.join(first, "home").filter("comp <> first.comp").groupBy("home").agg(F.min("excess").alias("second"))
+    rivals = stage(first.join(other, "home"))
+    common = (
+        rows.filter("element is not null").groupBy("home", "element").agg(F.count("*").alias("often"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+        .filter("x < y").select("home", "element", "often")
+    )
+    mine = Window.partitionBy("home", "rep", "part")
+    useful = rows.join(rivals, "home").join(common, ["home", "element"])
+    useful = useful.withColumn("left", F.count("*").over(mine) - F.row_number().over(mine.orderBy("often", "element")) + 1)
+    rival = F.when(F.col("comp") == F.col("first.comp"), F.col("second")).otherwise(F.col("first.excess"))
+    indexed = stage(useful.filter(F.col("left") * 2 * (NUM + DEN) >= F.col("excess") + rival).select("home", "element", "rep", "comp", "n", "excess", "left"))
+    other = indexed.select("home", "element", *[F.col(c).alias(f"{c}_b") for c in ("rep", "comp", "n", "excess", "left")])
+    fit = (F.col("rep") < F.col("rep_b")) & (F.col("comp") != F.col("comp_b"))
+    fit &= F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM
+    fit &= F.least("left", "left_b") * 2 * (NUM + DEN) >= F.col("excess") + F.col("excess_b")
+    same = [indexed[c] == other[c] for c in ("home", "element")]
+    return indexed.join(other, [*same, fit]).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

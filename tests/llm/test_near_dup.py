@@ -61,6 +61,28 @@ def test_large_group_with_outliers(spark):
     assert len(set(want.values())) > 3
 
 
+def test_edited_group_without_the_text_itself(spark, monkeypatch):
+    """Copies that are all edited, also the typical one: the pairs compared across groups stay far below its square."""
+    rnd = random.Random(7)
+    vocab = [f"w{i}" for i in range(3000)]
+    base = [rnd.choice(vocab) for _ in range(150)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for _ in range(rnd.choice([2, 3, 4, 6, 8])):
+            at = rnd.randrange(150)
+            text[at:at + 1] = [] if rnd.random() < 0.5 else [rnd.choice(vocab)]
+            text += [""] * (150 - len(text))
+        rows.append((i, " ".join(text)))
+    seen, across = [], near_dup._across
+    monkeypatch.setattr(near_dup, "_across", lambda *args: seen.append(across(*args)) or seen[-1])
+    got = near_dup.classes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    want = brute(rows)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+    assert len(set(want.values())) > 20
+    assert seen[0].count() < 4000
+
+
 def test_shared_ids_null_ids_and_empty(spark, empty):
     a, b = "a b c d e f g h", "p q r s t u v w"
     df = spark.createDataFrame([(1, a), (2, b), (3, a), (3, b), (None, a), (4, None)], "doc_id bigint, text string")
