@@ -167,6 +167,12 @@ class UnitEncoder:
         self.known = pa.array([], pa.large_string())
         self.flat, self.lengths = [np.zeros(1, np.uint32)], [np.ones(1, np.int32)]
 
+    def close(self) -> None:
+        """Give the memory back: a worker process outlives its task, and its executor is charged for what it holds."""
+        self._forget()
+        self.tokenizer = None
+        pa.default_memory_pool().release_unused()
+
     def _units(self, text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """The units of all texts in any order, where each text's begin among them, and how many it has."""
         odd = pc.or_(pc.match_substring_regex(text, _ODD), pc.match_substring(text, _CUT)).to_numpy(zero_copy_only=False)
@@ -255,6 +261,9 @@ def write(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID, folder: st
             for part in pieces(batch, most=TASK_PIECE):
                 ids, begins = encoder.encode(part.column("text"), end_id)
                 out.add(part.column("doc_id").to_pylist(), np.diff(begins), ids)
+                del ids, begins
+        if encoder:
+            encoder.close()
         if out.docs:
             name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.qbp"
             fs_, root_ = _open(folder)

@@ -76,3 +76,16 @@ def test_units_forgotten(monkeypatch):
         ids, begins = encoder.encode(pa.array(texts, pa.large_string()), 2)
         want = [[*e.ids, 2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
         assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])] == want
+
+
+def test_closed_encoder_holds_nothing():
+    """Worker processes are used again, so what a task leaves behind adds to the next one."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        encoder = token_files.UnitEncoder(file.read())
+    text = pa.array([" ".join(f"unit{i}" for i in range(200_000))], pa.large_string())
+    before = pa.total_allocated_bytes()
+    encoder.encode(text, 2)
+    held = pa.total_allocated_bytes() - before
+    encoder.close()
+    assert held > 2_000_000
+    assert pa.total_allocated_bytes() - before < held / 10 and sum(map(len, encoder.flat)) == 1 and encoder.tokenizer is None
