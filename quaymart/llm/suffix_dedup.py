@@ -56,21 +56,32 @@ SPAN = 100
 GRAM = 28
 CELL = 32
 CORE = SPAN - CELL + 1
-CHUNK = 1 << 20            # window starts looked at together
-SHARD = 1 << 20            # bytes of one shard
-TASK = 4 << 20             # bytes of cells a merge task is to get
+CHUNK = 1 << 16            # window starts looked at together; their hashes stay in the cache of a core
+SHARD = 1 << 18            # bytes of one shard
+TASK = 1 << 20             # bytes of cells a merge task is to get
+NEAR = 8                   # rounds whose ranks are picked out together
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SAME = np.arange(256, dtype=np.uint8)
 _LOW = np.uint64((1 << 22) - 1)
+_MIX = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)      # the factors of ``mix``
+_EACH = mix(np.arange(256, dtype=np.uint64) + np.uint64(1))
 
 
-def _powers(raw: np.ndarray) -> dict[int, np.ndarray]:
-    """Hashes of the 1, 2, 4 ... 64 bytes from each place on."""
-    h = {1: mix(raw.astype(np.uint64) + np.uint64(1))}
+def _powers(raw: np.ndarray, held: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Hashes of the 1, 2, 4, 8 and 16 bytes from each place on, in the arrays ``held``: new ones for every chunk would
+    cost more than the hashes. The array 0 is for steps in between."""
+    h = {1: np.take(_EACH, raw, out=held[1][:len(raw)], mode="clip")}
     size = 1
-    while size < 64:
-        a = h[size]
-        h[2 * size] = mix(a[:-size] * _A + a[size:]) if len(a) > size else np.zeros(0, np.uint64)
+    while size < 16:
+        n = max(len(raw) - 2 * size + 1, 0)
+        x, step = held[2 * size][:n], held[0][:n]
+        np.multiply(h[size][:n], _A, out=x)
+        x += h[size][size:size + n]
+        for factor in _MIX:
+            np.bitwise_xor(x, np.right_shift(x, np.uint64(33), out=step), out=x)
+            x *= factor
+        np.bitwise_xor(x, np.right_shift(x, np.uint64(33), out=step), out=x)
+        h[2 * size] = x
         size *= 2
     return h
 
@@ -84,26 +95,38 @@ def _window_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def _long_hash(h64: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+def _at(h16: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of size (16, 32 or 64) bytes from the places."""
+    if size == 16:
+        return h16[place]
+    half = size // 2
+    return mix(_at(h16, place, half) * _A + _at(h16, place + half, half))
+
+
+def _long_hash(h16: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Hash of size (64 to 192) bytes from each start."""
     end = start + size - 64
-    return mix(mix(h64[start] * _A + h64[(start + end) // 2]) * _B + h64[end] + size.astype(np.uint64))
+    return mix(mix(_at(h16, start, 64) * _A + _at(h16, (start + end) // 2, 64)) * _B + _at(h16, end, 64) + size.astype(np.uint64))
 
 
 def anchors(raw: np.ndarray, offsets: np.ndarray, wide: bool):
     """Yields arrays per chunk: owner text, first owned window (in the text), windows owned, anchor hash and, if
     ``wide``, the hash of all owned bytes and the anchor's place in the text."""
     total = len(raw)
+    held = {size: np.empty(min(total, CHUNK + SPAN - 1), np.uint64) for size in (0, 1, 2, 4, 8, 16)}
     for a in range(0, max(total - SPAN + 1, 0), CHUNK):
         part = raw[a: a + CHUNK + SPAN - 1]
-        h = _powers(part)
+        h = _powers(part, held)
         m = len(part) - GRAM + 1
         gram = mix(h[16][:m] * _A + h[8][16:16 + m] * _B + h[4][24:24 + m])
         ranked = (gram & ~_LOW) | np.arange(m, dtype=np.uint64)
         place = (_window_least(ranked, SPAN - GRAM + 1) & _LOW).astype(np.int64)
         starts = np.arange(len(place), dtype=np.int64)
-        owner = np.searchsorted(offsets, starts + a, side="right") - 1
-        inside = starts + a + SPAN <= offsets[owner + 1]
+        low, high = np.searchsorted(offsets, [a, a + len(starts) - 1], side="right") - 1
+        ends = offsets[low + 1:high + 2] - a
+        length = np.diff(np.clip(ends, 0, len(starts)), prepend=0)
+        owner = np.repeat(np.arange(low, high + 1), length)
+        inside = starts <= np.repeat(ends - SPAN, length)
         starts, place, owner = starts[inside], place[inside], owner[inside]
         if not len(starts):
             continue
@@ -113,7 +136,7 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, wide: bool):
         # Windows at the end of a text are no neighbours of the next text's, so a run is without gaps.
         found = [owner, first + a - offsets[owner], count, gram[place].view(np.int64)]
         if wide:
-            found += [_long_hash(h[64], first, count + SPAN - 1).view(np.int64), place + a - offsets[owner]]
+            found += [_long_hash(h[16], first, count + SPAN - 1).view(np.int64), place + a - offsets[owner]]
         yield found
 
 
@@ -229,8 +252,15 @@ def refine(befores: list[np.ndarray], ahead: list[np.ndarray]) -> tuple[np.ndarr
     begin SPAN - r bytes into a window by the symbol before them. Other ranks would not change the result.
     """
     shard = block = None
+    # Rounds from the first on, below their number: one comparison of bytes, as rounds before the first wrap round.
+    ahead = [(first.astype(np.uint8), np.clip(last - first, 0, SPAN).astype(np.uint8)) for first, last in ahead]
     for r in range(SPAN):
-        live = [b[(first <= r) & (r < last)] for b, (first, last) in zip(befores, ahead)]
+        if r % NEAR == 0:
+            near = []
+            for b, (first, number) in zip(befores, ahead):
+                some = np.flatnonzero((first < r + NEAR) & (first + number > r))
+                near.append((b[some], first[some], number[some]))
+        live = [b[np.uint8(r) - first < number] for b, first, number in near]
         if shard is None:
             shard = np.repeat(np.arange(len(live)), [len(b) for b in live]).astype(np.uint8)
             block = np.zeros(len(shard), np.int32)
